@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, token_store
+from . import decontaminate, quality_rules, token_store
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_store": token_store.op3_token_store,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLES = {
