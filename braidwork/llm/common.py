@@ -88,7 +88,8 @@ class Lexicon(dict):
         """(len(words), 2) word hashes."""
         if len(self) > self.most:
             self.clear()
-        return self.pairs[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.pairs[rows]
 
 
 def rolled(h: np.ndarray, width: int) -> np.ndarray:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, quality_rules, token_store
+from . import decontaminate, near_dup, quality_rules, token_store
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_store": token_store.op3_token_store,
+    "op9_near_dup": near_dup.op9_near_dup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
