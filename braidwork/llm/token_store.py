@@ -12,6 +12,9 @@ no set order; an empty table gives an empty store.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -29,32 +32,79 @@ END = 1
 CHUNKS = "shard int, chunk int, n_ids long, kind string, doc_ids array<long>, lengths array<long>, blocks array<struct<n:int,planes:array<binary>>>"
 
 
-class WordEncoder(dict):
-    """White-space free stretch -> its ids. The tokenizer drops white space and cuts there, so stretches are encoded alone, each kind once."""
+#: Bytes to the printable characters that byte-level vocabularies spell them with.
+SPELT = {b: chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255 else None for b in range(256)}
+SPELT |= {b: chr(256 + i) for i, b in enumerate(b for b, c in SPELT.items() if c is None)}
+#: Letters of scripts below U+0250, then ASCII signs other than the apostrophe: two pre-tokens at most, whose bounds are certain.
+PLAIN = re.compile("([A-Za-z\u00c0-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+#: The parts of a tokenizer file that make PLAIN certain.
+STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    MOST = 1 << 18
 
-    def __init__(self, json: str):
-        from tokenizers import Tokenizer
+class WordEncoder:
+    """Ids of texts. The tokenizer drops white space and cuts there, so stretches between white space are encoded alone, and
+    in each slice of texts every kind once; stretches met in several slices are remembered, up to MOST of them.
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_str(json)
-        self.tokenizer.encode_special_tokens = True
+    Where the file's steps are those of STEPS, plain stretches go straight to its BPE model, which spares most of the time."""
 
-    def learn(self, words: list[str]) -> None:
-        if len(self) > self.MOST:
-            self.clear()
-        if new := [w for w in set(words) if w not in self]:
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+    MOST, YOUNG = 1 << 17, 1 << 18
 
-    def ids(self, text: str | None) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if text else []
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            self.learn(words)
-            return b"".join(map(self.__getitem__, words))
+    def __init__(self, json_text: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(json_text)
+        self.tokenizer.encode_special_tokens = True
+        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        made = json.loads(json_text)
+        kinds = tuple([x["type"] for x in (made.get(k) or {}).get(part, [])] for k, part in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
+        self.plain = kinds == STEPS and made["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": CUTS} and made["model"]["type"] == "BPE"
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learned(self, words: list[str]) -> dict[str, bytes]:
+        out, odd, parts = {}, [], {"": b""}
+        tokenize = self.tokenizer.model.tokenize
+        for w in words:
+            m = PLAIN.fullmatch(w) if self.plain else None
+            if m is None:
+                odd.append(w)
+                continue
+            for part in m.groups():
+                if part not in parts:
+                    if part.isascii():
+                        spelt = part.lower()
+                    else:
+                        low = "".join(c.lower() for c in unicodedata.normalize("NFC", part))
+                        if part[0].isalpha() and not low.isalpha():
+                            break
+                        spelt = low.encode().decode("latin-1").translate(SPELT)
+                    parts[part] = np.array([t.id for t in tokenize(spelt)], "<u4").tobytes()
+            else:
+                out[w] = parts[m[1]] + parts[m[2]]
+                continue
+            odd.append(w)
+        for i in range(0, len(odd), 4096):
+            out.update(zip(odd[i : i + 4096], self._whole(odd[i : i + 4096]), strict=True))
+        return out
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        parted = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
+        known, young = self.known, self.young
+        new = set().union(*parted).difference(known)
+        again = {w: young[w] for w in new if w in young}
+        new = self._learned([w for w in new if w not in again])
+        if len(known) + len(again) <= self.MOST:
+            known.update(again)
+        else:
+            new |= again
+        if len(young) > self.YOUNG:
+            young.clear()
+        young.update(new)
+        return [b"".join([known[w] if w in known else new[w] for w in words]) for words in parted]
 
 
 def planes(ids: np.ndarray, kind: str, level: int = LEVEL) -> list[bytes]:
@@ -93,8 +143,8 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end: int = END,
 
         for whole in batches:
             for batch in slices(whole):
-                for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    ids = coder.ids(text) + tail
+                for key, ids in zip(batch.column("doc_id").to_pylist(), coder.ids(batch.column("text").to_pylist()), strict=True):
+                    ids += tail
                     keys.append(key)
                     lengths.append(len(ids) // 4)
                     parts.append(ids)
