@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dup, quality_rules, token_store
+from . import decontaminate, near_dup, quality_rules, substring_dedup, token_store
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_token_store": token_store.op3_token_store,
     "op9_near_dup": near_dup.op9_near_dup,
@@ -12,5 +13,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
     "op2_decontaminate": decontaminate.ORACLE,
 }
