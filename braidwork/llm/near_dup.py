@@ -8,7 +8,8 @@ sequence is one shingle. Documents are linked if share * union <= 100 * intersec
 3. Candidates are compared signature batch by signature batch and dropped when, under a uniform prior, the posterior chance that the
    similarity reaches the threshold is below MISS. Survivors are verified on full sets.
 4. Verified links give components. Buckets that still hold several components are compared across them: small ones by a
-   self-join, large ones in tasks of CHUNK x CHUNK members, which emit survivors only; those are verified too.
+   self-join, whose survivors are verified like the first; large ones in tasks that each hold two parts of about CHUNK_BYTES of sets,
+   verify survivors there, skip pairs that earlier links already join, and emit only links that join components.
 
 So no bucket is capped: any two nodes of one bucket are in one component, or were compared. The chance of losing a link is that of
 sharing no band (BANDS bands of ROWS: 1e-9 at 0.85, 4e-7 at 0.8) plus MISS.
@@ -33,8 +34,8 @@ from .common import U64, Lexicon, ids_and_texts, raw_texts, rolled, slices, tabl
 WIDTH, SHARE = 5, 80
 BANDS, ROWS = 28, 4
 HASHES, BATCH, MISS = BANDS * ROWS, 16, 1e-6
-#: Members of one bucket that a task compares with as many others; buckets up to SMALL are self-joined.
-CHUNK, SMALL = 512, 16
+#: Bytes of one bucket's sets that a task compares with as many others; buckets up to SMALL members are self-joined.
+CHUNK_BYTES, SMALL = 4 << 20, 16
 #: Ids that may be broadcast (16 MB); beyond it the join is shuffled.
 MOST_SENT = 1_000_000
 _random = np.random.default_rng(20240229)
@@ -126,11 +127,8 @@ def pruned(pairs: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, share: int, width: int) -> DataFrame:
-    """The pairs (a, b) that are links on their full sets; pairs must be a written table."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if pairs.count() * 2 <= MOST_SENT:
-        needed = F.broadcast(needed)
+def sets_of(docs: DataFrame, needed: DataFrame, count: int, width: int) -> DataFrame:
+    """doc_id, items (the sorted shingle hashes) of the documents named by needed (doc_id, distinct; about count rows)."""
 
     def to_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
@@ -139,7 +137,13 @@ def verified(docs: DataFrame, pairs: DataFrame, share: int, width: int) -> DataF
                 own = [shingles(t.lower().split() if t else [], lexicon, width).tobytes() for t in raw_texts(batch)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.binary())], names=["doc_id", "items"])
 
-    sets = docs.join(needed, "doc_id", "left_semi").mapInArrow(to_set, "doc_id long, items binary")
+    return docs.join(F.broadcast(needed) if count <= MOST_SENT else needed, "doc_id", "left_semi").mapInArrow(to_set, "doc_id long, items binary")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, share: int, width: int) -> DataFrame:
+    """The pairs (a, b) that are links on their full sets; pairs must be a written table."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = sets_of(docs, needed, 2 * pairs.count(), width)
     left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("xa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("xb"))
 
@@ -178,42 +182,59 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def across(members: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
-    """Surviving pairs of different components in one bucket. members: key, node, component."""
-    stats = members.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-    mixed = members.join(stats.select("key", "m"), "key")
+def across_small(mixed: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
+    """Surviving pairs of different components in one small bucket."""
     few = mixed.where(F.col("m") <= SMALL)
     a, b = (few.select("key", F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
-    small = a.join(b, "key").where("a < b AND ca != cb").select("a", "b").distinct()
-    many = mixed.where(F.col("m") > SMALL).join(nodes.select("node", "sig"), "node")
-    n = F.ceil(F.col("m") / CHUNK).cast("int")
-    dealt = many.withColumn("own", F.pmod(F.xxhash64("node"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "sig")
+    return pruned(a.join(b, "key").where("a < b AND ca != cb").select("a", "b").distinct(), nodes, share)
+
+
+def across_large(docs: DataFrame, mixed: DataFrame, nodes: DataFrame, share: int, width: int) -> DataFrame:
+    """Links (a, b) that join components within large buckets, verified where they are found."""
+    large = mixed.where(F.col("m") > SMALL)
+    needed = written(large.select(F.col("node").alias("doc_id")).distinct(), "needed")
+    sets = sets_of(docs, needed, needed.count(), width).groupBy("doc_id").agg(F.first("items").alias("items"))
+    rows = large.join(nodes.select("node", "sig"), "node").join(sets.withColumnRenamed("doc_id", "node"), "node")
+    n = F.ceil(F.col("bytes") / CHUNK_BYTES).cast("int")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "sig", "items")
 
     def compare(group: pa.Table) -> pa.Table:
-        own, other = group.column("own").to_numpy(), group.column("y")[0].as_py()
-        node, part = group.column("node").to_numpy(), group.column("component").to_numpy()
+        own, x, y = group.column("own").to_numpy(), group.column("x")[0].as_py(), group.column("y")[0].as_py()
+        node, part = group.column("node").to_numpy(), group.column("component").to_numpy().copy()
         sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u2").reshape(len(node), HASHES)
-        one = own == group.column("x")[0].as_py()
+        raw = [np.frombuffer(b, U64) for b in group.column("items").to_pylist()]
+        sizes = np.array([len(r) for r in raw])
+        items = np.split(np.unique(np.concatenate(raw), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+        present = np.zeros(1 + max(int(i.max(initial=0)) for i in items), bool)
+        right = np.flatnonzero(own == y)
         found = []
-        right = np.flatnonzero(own == other)
-        for i in np.flatnonzero(one):
-            others = right[(part[right] != part[i]) & ((node[right] > node[i]) | (own[right] != own[i]))]
-            hits = others[survivors(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], share)]
-            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in hits]
+        for i in np.flatnonzero(own == x):
+            others = right[part[right] != part[i]]
+            if x == y:
+                others = others[others > i]
+            others = others[survivors(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], share)]
+            if not len(others):
+                continue
+            present[items[i]] = True
+            common = np.add.reduceat(present[np.concatenate([items[j] for j in others])], np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+            present[items[i]] = False
+            for j in others[100 * common >= share * (sizes[others] + sizes[i] - common)]:
+                if part[i] != part[j]:
+                    part[part == part[j]] = part[i]
+                    found.append((min(node[i], node[j]), max(node[i], node[j])))
         found = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
-    large = dealt.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long")
-    return pruned(small, nodes, share).union(large).distinct()
+    return dealt.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long")
 
 
 def classes(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs (doc_id long, text string)."""
     sets = written(sketches(docs, width), "sketches")
     named = sets.where("fp IS NOT NULL AND doc_id IS NOT NULL")
-    nodes = written(named.groupBy("fp").agg(F.min(F.struct("doc_id", "sig", "bands")).alias("s")).select("fp", F.col("s.doc_id").alias("node"), "s.sig", "s.bands"), "nodes")
-    banded = nodes.select("node", F.explode("bands").alias("key"))
+    nodes = written(named.groupBy("fp").agg(F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("s")).select("fp", F.col("s.doc_id").alias("node"), F.col("s.n_shingles").alias("n"), "s.sig", "s.bands"), "nodes")
+    banded = nodes.select("node", "n", F.explode("bands").alias("key"))
     ends = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     members = written(banded.join(ends, "key"), "members")
     ends = F.explode(F.array("lo", "hi")).alias("end")
@@ -221,12 +242,13 @@ def classes(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> DataFram
     tested = written(pruned(star, nodes, share), "star")
     links = written(verified(docs, tested, share, width), "links")
     parts = components(links)
-    placed = members.select("key", "node").join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    rest = written(across(placed, nodes, share).join(tested, ["a", "b"], "left_anti"), "rest")
-    if rest.head(1):
-        more = written(verified(docs, rest, share, width), "links")
-        if more.head(1):
-            parts = components(links.union(more))
+    placed = members.select("key", "node", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    stats = placed.groupBy("key").agg(F.count("*").alias("m"), F.sum(F.col("n") * 8 + 300).alias("bytes"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    mixed = written(placed.join(stats.where("c1 < c2").select("key", "m", "bytes"), "key"), "mixed")
+    rest = written(across_small(mixed, nodes, share).join(tested, ["a", "b"], "left_anti"), "rest")
+    more = written(verified(docs, rest, share, width).union(across_large(docs, mixed, nodes, share, width)), "links")
+    if more.head(1):
+        parts = components(links.union(more))
     by_set = nodes.select("fp", "node").join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
     # rows that repeat an id are one node: the least component of any of them
     return sets.select("doc_id", "n_shingles", "fp").join(by_set, "fp", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
