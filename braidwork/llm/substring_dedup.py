@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,7 +120,7 @@ class Block:
         out = np.zeros(int(new.sum()), FIRST)
         out["h1"], out["h2"], out["at"] = h1[new], h2[new].astype(np.uint32), place[new]
         out["doc"] = ids[np.searchsorted(self.ends, place[new], side="right")]
-        return out, place[~new].astype(np.uint32)
+        return out[np.argsort(out["at"])], place[~new].astype(np.uint32)
 
     def covered(self, places: np.ndarray) -> np.ndarray:
         marks = np.zeros(len(self.hashes) + 1, np.int32)
@@ -136,6 +137,27 @@ def _dealt(values: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[tuple
         yield int(b), part
 
 
+def _compact(x: np.ndarray) -> bytes:
+    """Firsts in order of place, as compressed columns: hashes, steps of the place by byte plane, runs of documents."""
+    new = np.flatnonzero(np.concatenate([[True], x["doc"][1:] != x["doc"][:-1]]))
+    steps = np.diff(x["at"], prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    runs = np.diff(np.append(new, len(x))).astype("<u4")
+    return zstandard.compress(b"".join([np.array([len(x), len(new)], "<u4").tobytes(), x["h1"].tobytes(), x["h2"].tobytes(), steps, x["doc"][new].tobytes(), runs.tobytes()]), 1)
+
+
+def _firsts(data: bytes) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    n, k = np.frombuffer(raw, "<u4", 2)
+    at, out = 8, np.zeros(n, FIRST)
+    for field, size in (("h1", 8), ("h2", 4)):
+        out[field] = np.frombuffer(raw, out.dtype[field], n, at)
+        at += size * int(n)
+    out["at"] = np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * int(n), at).reshape(4, -1).T).view("<u4").ravel(), dtype=np.uint32)
+    at += 4 * int(n)
+    out["doc"] = np.repeat(np.frombuffer(raw, "<i8", k, at), np.frombuffer(raw, "<u4", k, at + 8 * int(k)))
+    return out
+
+
 def _joined(parts: list[bytes] | None, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(parts or []), kind)
 
@@ -157,7 +179,9 @@ def _met_twice(group: pa.Table) -> pa.Table:
 
 def _preceded(group: pa.Table) -> pa.Table:
     """Of the firsts of a bucket, those with an earlier one in another block: their places, by block."""
-    parts = [np.frombuffer(d, FIRST) for d in group.column("data").to_pylist()]
+    if group.column("bucket")[0].as_py() < 0:  # places known within their block
+        return group.select(["block", "data"])
+    parts = [_firsts(d) for d in group.column("data").to_pylist()]
     x, block = np.concatenate(parts), np.repeat(group.column("block").to_numpy(), [len(p) for p in parts])
     order = np.lexsort((x["at"], block, x["doc"], x["h2"], x["h1"]))
     x, block = x[order], block[order]
@@ -196,9 +220,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 own = Block(payload.as_buffer(), text_col, lexicon, window)
                 ids = own.rows.column(id_col).cast(pa.int64()).fill_null(LAST).to_numpy()
                 firsts, later = own.firsts(np.sort(_joined(parts, "<u8")), ids)
-                rows = [(b, block, part.tobytes()) for b, part in _dealt(firsts, firsts["h1"], buckets)]
+                rows = [(b, block, _compact(part)) for b, part in _dealt(firsts, firsts["h1"], buckets)]
                 if len(later):
-                    rows.append((-1, block, later.tobytes()))
+                    rows.append((-1 - block % buckets, block, later.tobytes()))
                 if rows:
                     yield _rows(*zip(*rows, strict=True))
 
@@ -233,10 +257,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     plain = "bucket long, block long, data binary"
     anchors = blocks.select("block", "payload").mapInArrow(send_anchors, plain)
     shared = anchors.groupBy("bucket").applyInArrow(_met_twice, "block long, data binary")
-    firsts = written(blocks.join(gathered(shared), "block", "left").select("block", "payload", "data").mapInArrow(send_firsts, plain), "firsts")
-    later = firsts.where("bucket >= 0").groupBy("bucket").applyInArrow(_preceded, "block long, data binary").union(firsts.where("bucket < 0").select("block", "data"))
+    firsts = blocks.join(gathered(shared), "block", "left").select("block", "payload", "data").mapInArrow(send_firsts, plain)
+    later = firsts.groupBy("bucket").applyInArrow(_preceded, "block long, data binary")
     schema = f"{fields}, {'_kept string, ' if digest else ''}_words long, _removed long"
-    return blocks.join(gathered(later), "block", "left").select("payload", "data").mapInArrow(emit, schema)
+    return blocks.join(gathered(later), "block", "left").select("block", "payload", "data").mapInArrow(emit, schema)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
