@@ -119,7 +119,9 @@ def judged(docs: DataFrame, text_col: str = "text", guard_words: int = GUARD_WOR
 
 def kept(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that the rules keep, unchanged."""
-    return judged(docs, text_col).where("q_kept").select(docs.columns)
+    # the row number keeps the filter above the projections; pushed below, it would repeat all of them inside each lambda
+    rows = judged(docs, text_col).select(*docs.columns, "q_kept", F.monotonically_increasing_id().alias("q_row"))
+    return rows.where((F.col("q_row") >= 0) & F.col("q_kept")).select(docs.columns)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
