@@ -25,7 +25,7 @@ from .common import ids_and_texts, table
 
 WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 NONE = 2**31 - 1
 
 
@@ -74,27 +74,29 @@ class Codec:
         """Ids of one word (binary)."""
         cost = lambda token: F.coalesce(self.rank(token), F.lit(NONE))
 
+        piece = lambda start, end: F.substring(word, start + 1, end - start)
+        none = F.array().cast("array<int>")
+
+        # b: where pieces begin, and the length; r: the rank of each two neighbours
         def step(s: Column, _: Column) -> Column:
-            t, r = s["t"], s["r"]
+            b, r = s["b"], s["r"]
 
             def join(p: Column) -> Column:
-                def with_new(x: Column) -> Column:
-                    before = F.when(p > 1, F.array(cost(F.concat(F.get(t, p - 2), x)))).otherwise(F.array().cast("array<int>"))
-                    after = F.when(p < F.size(r), F.array(cost(F.concat(x, F.get(t, p + 1))))).otherwise(F.array().cast("array<int>"))
-                    tokens = F.concat(F.slice(t, 1, p - 1), F.array(x), F.slice(t, p + 2, F.size(t)))
-                    costs = F.concat(F.slice(r, 1, F.greatest(p - 2, F.lit(0))), before, after, F.slice(r, p + 2, F.size(t)))
-                    return F.struct(tokens.alias("t"), costs.alias("r"))
-
-                return _let(F.concat(F.get(t, p - 1), F.get(t, p)), with_new)
+                end = F.get(b, p + 1)
+                before = F.when(p > 1, F.array(cost(piece(F.get(b, p - 2), end)))).otherwise(none)
+                after = F.when(p < F.size(r), F.array(cost(piece(F.get(b, p - 1), F.get(b, p + 2))))).otherwise(none)
+                bounds = F.concat(F.slice(b, 1, p), F.slice(b, p + 2, F.size(b)))
+                costs = F.concat(F.slice(r, 1, F.greatest(p - 2, F.lit(0))), before, after, F.slice(r, p + 2, F.size(b)))
+                return F.struct(bounds.alias("b"), costs.alias("r"))
 
             return _let(F.array_min(r), lambda least: F.when(F.coalesce(least, F.lit(NONE)) == NONE, s).otherwise(_let(F.array_position(r, least).cast("int"), join)))
 
         n = F.octet_length(word)
-        single = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
-        pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: cost(F.substring(word, i, F.lit(2))))).otherwise(F.array().cast("array<int>"))
-        steps = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-        tokens = F.aggregate(steps, F.struct(single.alias("t"), pairs.alias("r")), step, lambda s: s["t"])
-        return _let(self.rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(tokens, self.rank)))
+        pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: cost(F.substring(word, i, F.lit(2))))).otherwise(none)
+        steps = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(none)
+        bounds = F.aggregate(steps, F.struct(F.sequence(F.lit(0), n).alias("b"), pairs.alias("r")), step, lambda s: s["b"])
+        ids = _let(bounds, lambda b: F.transform(F.slice(b, 1, F.size(b) - 1), lambda start, i: self.rank(piece(start, F.get(b, i + 1)))))
+        return _let(self.rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(ids))
 
     def remember(self, docs: DataFrame, text_col: str = "text", most: int = REMEMBERED) -> None:
         """Fold the most frequent distinct words of docs once, into a literal of at most `most` words."""
