@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, raw_texts, slices, table, written
+from .common import ids_and_texts, raw_texts, shared, slices, table, written
 
 FEATURES = ["words", "word_length", "upper", "digits", "symbols", "stops", "other_ascii", "high_bytes", "distinct", "top_word", "repeated_lines", "line_words", "exclaimed", "short_words"]
 BINS, LEAVES, ROUNDS, RATE, PAIRS, PAIR_ROUNDS = 48, 4, 120, 0.1, 6, 40
@@ -184,13 +184,14 @@ def learned(known: DataFrame, labels: DataFrame, label: str = "quality", most: i
 
 
 def scored(known: DataFrame, model: Model) -> DataFrame:
-    sent = known.sparkSession.sparkContext.broadcast(model)
+    sent = shared(known.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent()
         for batch in batches:
             x = batch.column("x").values.to_numpy().reshape(-1, len(FEATURES)) if batch.num_rows else np.zeros((0, len(FEATURES)))
             x = x[batch.column("x").offset : batch.column("x").offset + batch.num_rows]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sent.value.score(x))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(x))], names=["doc_id", "score"])
 
     return known.mapInArrow(run, "doc_id long, score double")
 
