@@ -165,15 +165,17 @@ def q_template_links(spark, sf):
 
 
 def q_template_delta(spark, sf):
-    return X.template_delta(_template_pages(spark, sf)).groupBy("title", "template", "target").agg(F.count("*").alias("n"))
+    text = F.regexp_replace("html", r'<a href="/([^"]*)"[^>]*>([^<]*)</a>', r"{{See_also|$1|$1 $2}} [[$2]]")
+    pages = _pages(spark, sf).drop("text").join(_t(spark, sf, "pages").select(F.col("page_id").cast("string").alias("title"), text.alias("text")), "title")
+    return X.template_delta(pages).groupBy("title", "template", "target").agg(F.count("*").alias("n"))
 
 
 def _resolution(spark, sf):
     pages = _pages(spark, sf)
     links = X.links(pages, with_template_links=False, keep=("lang",))
     # every third page has an item; anchors are titles in their language where their length is even
-    own = pages.where("cast(title as int) % 3 != 0").select("lang", F.col("title").alias("label"), F.concat(F.lit("Q"), F.col("title")).alias("qid"))
-    anchors = links.groupBy("lang", F.col("target").alias("label")).agg(F.concat(F.lit("Q9"), F.min(F.col("title").cast("int")).cast("string")).alias("qid"))
+    own = pages.where("try_cast(title as int) % 3 != 0").select("lang", F.col("title").alias("label"), F.concat(F.lit("Q"), F.col("title")).alias("qid"))
+    anchors = links.groupBy("lang", F.col("target").alias("label")).agg(F.concat(F.lit("Q9"), F.min(F.col("title").try_cast("int")).cast("string")).alias("qid"))
     titles = anchors.where("char_length(label) % 2 = 0")
     mul = anchors.where("char_length(label) % 3 = 0").select(F.lit("mul").alias("lang"), "label", "qid")
     media = links.where("char_length(target) % 5 = 0").select(F.col("target").alias("filename"))
@@ -276,7 +278,7 @@ ORACLES = {
     "failed_targets": f"WITH {BASE}, {_FAIL} SELECT target, count(DISTINCT lang_id) n_langs, count(*) n_pairs FROM failures GROUP BY 1",
     "missing_targets": f"WITH {BASE}, {_FAIL} SELECT target, count(DISTINCT lang_id) n_langs, count(*) n_pairs FROM failures GROUP BY 1 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 40",
     "promotable_best_guesses": f"WITH {BASE}, {_PART}, guess AS (SELECT src, dst, count(DISTINCT lang_id) n FROM base WHERE l_quantity > 45 GROUP BY ALL), props AS (SELECT src, dst, string_agg(prop, ',' ORDER BY prop) wd_props FROM wd_links GROUP BY ALL) SELECT src, dst, n bg_witnesses, wp_count, wd_props FROM guess LEFT JOIN few USING (src, dst) LEFT JOIN props USING (src, dst) WHERE n >= 3",
-    "coverage_violations": f"WITH {BASE}, {_PART}, m AS (SELECT DISTINCT lang_id, src, dst FROM base WHERE l_linenumber % 3 + 1 IN (2, 3)) SELECT src, dst, wp_count, count(DISTINCT lang_id) violating, round(CAST(count(DISTINCT lang_id) AS DOUBLE) / wp_count, 3) violation_fraction FROM m JOIN few USING (src, dst) WHERE list_contains(witnesses, lang_id) GROUP BY ALL",
+    "coverage_violations": f"WITH {BASE}, {_PART}, m AS (SELECT DISTINCT lang_id, src, dst FROM base WHERE l_linenumber % 3 + 1 IN (2, 3)) SELECT src, dst, wp_count, count(DISTINCT lang_id) violating, round(CAST(count(DISTINCT lang_id) AS DOUBLE) / wp_count, 3) violation_fraction FROM m JOIN few USING (src, dst) WHERE list_contains(witnesses, lang_id) GROUP BY src, dst, wp_count",
     "unconnected_hubs": f"WITH {BASE}, {_FAIL}, lost AS (SELECT DISTINCT lang_id, p_name title FROM base WHERE p_partkey % 3 = 0) SELECT code lang, title, count(*) inbound_failed FROM lost JOIN failures f ON f.lang_id = lost.lang_id AND f.target = title JOIN languages l ON l.id = lost.lang_id GROUP BY ALL ORDER BY 3 DESC, 1, 2 LIMIT 500",
     "neighbors": f"WITH {BASE}, p AS (SELECT src, dst FROM wp_links WHERE wp_count > 10 UNION ALL SELECT src, dst FROM wd_links), n AS (SELECT * FROM p WHERE 'Q3' IN (src, dst)) SELECT src qid FROM n UNION SELECT dst FROM n",
     "neighbor_links": f"WITH {BASE} SELECT src, dst, wp_count FROM wp_links WHERE 'Q3' IN (src, dst)",
@@ -287,12 +289,12 @@ ORACLES = {
  SELECT l.title, CASE WHEN list_contains(list_slice(seen, 1, d), cur) THEN 'cycle' WHEN r.title IS NULL THEN 'resolved' ELSE 'depth_exceeded' END kind, CASE WHEN r.title IS NULL THEN cur END AS "final", CASE WHEN r.title IS NULL THEN CAST(d AS BIGINT) END depth FROM last l LEFT JOIN r ON r.title = l.cur WHERE k = 1""",
     "wikilinks": f"WITH {_ANCHORS} SELECT title, target FROM links WHERE target <> ''",
     "template_links": r"""WITH a AS (SELECT CAST(page_id AS VARCHAR) title, unnest(regexp_extract_all(html, '<a href="/[^"]*"[^>]*>([^<]*)</a>', 1)) target FROM pages) SELECT title, 'l' template, trim(target) target, count(*) n FROM a WHERE trim(target) <> '' GROUP BY ALL""",
-    "template_delta": r"""WITH a AS (SELECT CAST(page_id AS VARCHAR) title, unnest(regexp_extract_all(html, '<a href="/([^"]*)"[^>]*>[^<]*</a>', 1)) x, unnest(regexp_extract_all(html, '<a href="/[^"]*"[^>]*>([^<]*)</a>', 1)) y FROM pages), b AS (SELECT DISTINCT title, trim(y) y FROM a) SELECT title, 'Main' template, trim(x) target, count(*) n FROM a WHERE trim(x) <> '' AND NOT EXISTS (SELECT 1 FROM b WHERE b.title = a.title AND b.y = trim(x)) GROUP BY ALL""",
+    "template_delta": r"""WITH a AS (SELECT CAST(page_id AS VARCHAR) title, unnest(regexp_extract_all(html, '<a href="/([^"]*)"[^>]*>[^<]*</a>', 1)) x, unnest(regexp_extract_all(html, '<a href="/[^"]*"[^>]*>([^<]*)</a>', 1)) y FROM pages), b AS (SELECT DISTINCT title, trim(y) y FROM a), c AS (SELECT title, trim(x) target FROM a UNION ALL SELECT title, trim(x || ' ' || y) FROM a) SELECT title, 'See_also' template, target, count(*) n FROM c WHERE target <> '' AND NOT EXISTS (SELECT 1 FROM b WHERE b.title = c.title AND b.y = c.target) GROUP BY ALL""",
     "stream_counts": None,
     "resolve_links": f"""WITH {_ANCHORS}, own AS (SELECT lang, title, 'Q' || title src FROM (SELECT DISTINCT regexp_extract(html, '<html lang="([^"]*)"', 1) lang, CAST(page_id AS VARCHAR) title, page_id FROM pages) WHERE page_id % 3 <> 0),
  anchors AS (SELECT lang, target, min(CAST(title AS INT)) m FROM links GROUP BY ALL), t AS (SELECT lang, target, 'Q9' || m qid FROM anchors WHERE length(target) % 2 = 0),
  mul AS (SELECT target, 'Q9' || min(m) qid, count(DISTINCT m) > 1 amb FROM anchors WHERE length(target) % 3 = 0 GROUP BY 1), c AS (SELECT DISTINCT lang, target FROM links),
- up AS (SELECT lang, target, upper(target[1]) || target[2:] cap FROM c),
+ up AS (SELECT lang, target, CASE WHEN target[1] = 'ß' THEN 'SS' ELSE upper(target[1]) END || target[2:] cap FROM c),
  hit AS (SELECT up.lang, up.target, coalesce(a.qid, b.qid, r1.qid, r1b.qid, r2.qid, r2b.qid) conv, coalesce(m1.qid, m2.qid) mq, coalesce(m1.amb, m2.amb) amb FROM up LEFT JOIN t a ON a.lang = up.lang AND a.target = up.target LEFT JOIN t b ON b.lang = up.lang AND b.target = cap
   LEFT JOIN t r1 ON length(up.target) = 7 AND r1.lang = up.lang AND r1.target = 'the' LEFT JOIN t r1b ON length(up.target) = 7 AND r1b.lang = up.lang AND r1b.target = 'The'
   LEFT JOIN (SELECT lang, target FROM c WHERE length(target) = 7) x ON x.lang = up.lang AND x.target = cap LEFT JOIN t r2 ON x.target IS NOT NULL AND r2.lang = up.lang AND r2.target = 'the' LEFT JOIN t r2b ON x.target IS NOT NULL AND r2b.lang = up.lang AND r2b.target = 'The'
