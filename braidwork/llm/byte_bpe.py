@@ -21,12 +21,14 @@ import base64
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, table
+from .common import ids_and_texts, partitions, table, written
 
 WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 REMEMBERED = 1 << 19
-NONE = 2**31 - 1
+#: A rank beyond all others; places in a word are below PLACES; the state of a byte that begins no piece.
+NONE, PLACES = 2**31 - 1, 1 << 31
+GONE = 2**63 - 1
 
 
 def _let(value: Column, body) -> Column:
@@ -71,38 +73,47 @@ class Codec:
         return F.get(self.ranks, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int"))[token]
 
     def folded(self, word: Column) -> Column:
-        """Ids of one word (binary)."""
-        cost = lambda token: F.coalesce(self.rank(token), F.lit(NONE))
+        """Ids of one word (binary).
 
+        The state is one long for each byte: of a byte that begins a piece, the rank of that piece joined with the next one, then the place
+        where the piece ends; GONE of all others. So the least entry is the leftmost pair of least rank."""
+        n = F.octet_length(word)
         piece = lambda start, end: F.substring(word, start + 1, end - start)
-        none = F.array().cast("array<int>")
+        end_of = lambda x: x.bitwiseAND(F.lit(PLACES - 1)).cast("int")
+        packed = lambda rank, end: F.coalesce(rank, F.lit(NONE)).cast("long") * F.lit(PLACES) + end
 
-        # b: where pieces begin, and the length; r: the rank of each two neighbours
-        def step(s: Column, _: Column) -> Column:
-            b, r = s["b"], s["r"]
+        def step(v: Column, _: Column) -> Column:
+            def join(least: Column) -> Column:
+                at = F.struct((F.array_position(v, least) - 1).cast("int").alias("p"), end_of(least).alias("q"), end_of(F.get(v, end_of(least))).alias("end"))
 
-            def join(p: Column) -> Column:
-                end = F.get(b, p + 1)
-                before = F.when(p > 1, F.array(cost(piece(F.get(b, p - 2), end)))).otherwise(none)
-                after = F.when(p < F.size(r), F.array(cost(piece(F.get(b, p - 1), F.get(b, p + 2))))).otherwise(none)
-                bounds = F.concat(F.slice(b, 1, p), F.slice(b, p + 2, F.size(b)))
-                costs = F.concat(F.slice(r, 1, F.greatest(p - 2, F.lit(0))), before, after, F.slice(r, p + 2, F.size(b)))
-                return F.struct(bounds.alias("b"), costs.alias("r"))
+                def moved(s: Column) -> Column:
+                    p, end = s["p"], s["end"]
+                    beyond = F.when(end < n, self.rank(piece(p, end_of(F.get(v, end)))))
+                    return F.transform(v, lambda x, i: F.when(i == p, packed(beyond, end)).when(i == s["q"], F.lit(GONE)).when(end_of(x) == p, packed(self.rank(piece(i, end)), p)).otherwise(x))
 
-            return _let(F.array_min(r), lambda least: F.when(F.coalesce(least, F.lit(NONE)) == NONE, s).otherwise(_let(F.array_position(r, least).cast("int"), join)))
+                return F.when(least >= NONE * PLACES, v).otherwise(_let(at, moved))
 
-        n = F.octet_length(word)
-        pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: cost(F.substring(word, i, F.lit(2))))).otherwise(none)
-        steps = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(none)
-        bounds = F.aggregate(steps, F.struct(F.sequence(F.lit(0), n).alias("b"), pairs.alias("r")), step, lambda s: s["b"])
-        ids = _let(bounds, lambda b: F.transform(F.slice(b, 1, F.size(b) - 1), lambda start, i: self.rank(piece(start, F.get(b, i + 1)))))
-        return _let(self.rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(ids))
+            return _let(F.array_min(v), join)
+
+        first = F.transform(F.sequence(F.lit(1), n), lambda i: packed(F.when(i < n, self.rank(F.substring(word, i, F.lit(2)))), i))
+        steps = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
+        last = F.aggregate(steps, first, step)
+        ids = F.array_compact(F.transform(last, lambda x, i: F.when(x != GONE, self.rank(piece(i, end_of(x))))))
+        return _let(self.rank(word), lambda whole: F.when(n == 0, F.array().cast("array<int>")).when(whole.isNotNull(), F.array(whole)).otherwise(ids))
 
     def remember(self, docs: DataFrame, text_col: str = "text", most: int = REMEMBERED) -> None:
-        """Fold the most frequent distinct words of docs once, into a literal of at most `most` words."""
-        counts = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy("word").count()
-        top = counts.where("count > 1").orderBy(F.desc("count"), "word").limit(most).select("word")
-        folded = top.select("word", self.folded(F.encode("word", "utf-8")).alias("ids"))
+        """Fold the most frequent distinct words of docs once, into a literal of at most `most` words: all words above the least count that
+        leaves no more of them. Counts of counts, in steps of an eighth of a doubling, decide it, so no task sorts the words."""
+        spark = docs.sparkSession
+        counts = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy("word").count().where("count > 1")
+        counts = written(counts.select("word", F.floor(F.log2("count") * 8).cast("int").alias("size")), "words")
+        room, least = most, None
+        for size, n in sorted(counts.groupBy("size").agg(F.count("*")).collect(), reverse=True):
+            if n > room:
+                break
+            room, least = room - n, size
+        top = counts.where(F.col("size") >= (10**6 if least is None else least)).select("word")
+        folded = written(top.repartition(partitions(spark)).select("word", self.folded(F.encode("word", "utf-8")).alias("ids")), "folded")
         self.known, self.known_mask = self._literal(folded, "word", "ids", most), most - 1
 
     def ids(self, text: Column) -> Column:
