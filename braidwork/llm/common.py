@@ -45,10 +45,20 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
-    """value as a broadcast that carries its classes, so that executors need no copy of this package; call it once a task."""
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-    return lambda: pickle.loads(sent.value)
+def shared(spark: SparkSession, value: Any, make: Callable[[Any], Any] = lambda x: x) -> Callable[[], Any]:
+    """make(value) for tasks: made once in each worker process, which keeps it from task to task with whatever it has learned.
+
+    The value travels as a broadcast that carries its classes, so that executors need no copy of this package."""
+    sent = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps((value, make))})
+
+    def get() -> Any:
+        held = sent.value
+        if "made" not in held:
+            own, how = pickle.loads(held.pop("pickled"))
+            held["made"] = how(own)
+        return held["made"]
+
+    return get
 
 
 def partitions(spark: SparkSession) -> int:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, partitions, scratch, slices, table
+from .common import ids_and_texts, partitions, scratch, shared, slices, table
 
 CHUNK_IDS, BLOCK_IDS, LEVEL = 1 << 17, 1 << 14, 3
 END = 1
@@ -81,7 +82,7 @@ class WordEncoder:
                         if part[0].isalpha() and not low.isalpha():
                             break
                         spelt = low.encode().decode("latin-1").translate(SPELT)
-                    parts[part] = np.array([t.id for t in tokenize(spelt)], "<u4").tobytes()
+                    parts[part] = struct.pack(f"<{len(found := tokenize(spelt))}I", *[t.id for t in found])
             else:
                 out[w] = parts[m[1]] + parts[m[2]]
                 continue
@@ -128,11 +129,11 @@ def unplanes(n: int, parts: list[bytes], kind: str) -> np.ndarray:
 def write_store(docs: DataFrame, path: str, tokenizer_json: str, end: int = END, kind: str = "byte", block_ids: int = BLOCK_IDS, chunk_ids: int = CHUNK_IDS) -> None:
     """Encode docs (doc_id, text) and write the store at `path`. Equal-count ranges of doc_id are the shards."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(tokenizer_json)
+    coders = shared(spark, tokenizer_json, WordEncoder)
     tail = np.array([end], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, shard, chunk = WordEncoder(model.value), TaskContext.get().partitionId(), 0
+        coder, shard, chunk = coders(), TaskContext.get().partitionId(), 0
         keys, lengths, parts, total = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
