@@ -65,6 +65,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def plain(docs: DataFrame, *named: str) -> tuple[DataFrame, list[str]]:
+    """docs with columns c0, c1, ..., which clash with none of an operator's own, and the new names of `named`."""
+    at = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*at.values()), [at[c.lower()] for c in named]
+
+
 def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROLL, U64, ids_and_texts, mixed, rolled, slices, table, written
+from .common import ROLL, U64, ids_and_texts, mixed, plain, slices, table, written
 
 NGRAM = 10
 #: Item text in one broadcast block; its windows take some forty times as much in a worker.
@@ -106,8 +106,9 @@ def cleaned(text: bytes, hit: np.ndarray) -> bytes:
 
 
 def scan(docs: DataFrame, bench: DataFrame, ngram: int = NGRAM, id_col: str = "item_id", bench_text: str = "text", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs with three columns more: _words long, _hits binary (packed flags, one bit a word), _items array<string>."""
-    spark = docs.sparkSession
+    """The rows of docs with three columns more: _words long, _hits binary (packed flags, one bit a word), _items array<string>.
+    Columns of docs with these names are left out."""
+    spark, docs = docs.sparkSession, docs.drop("_words", "_hits", "_items")
     own = docs.columns
     parts = list(blocks(bench, id_col, bench_text, block_bytes)) if _one_block(bench, bench_text, block_bytes) else blocks(bench, id_col, bench_text, block_bytes)
     out = docs.withColumns({"_words": F.lit(None).cast("long"), "_hits": F.lit(None).cast("binary"), "_items": F.lit(None).cast("array<string>")})
@@ -151,9 +152,11 @@ def _pass(spark: SparkSession, docs: DataFrame, items: list, ngram: int, text_co
 
 def decontaminated(docs: DataFrame, bench: DataFrame, remove: str = "spans", text_col: str = "text", **options) -> DataFrame:
     """docs without the hit stretches of text (remove='spans') or without the hit documents ('documents'); clean rows are unchanged."""
+    given = docs.columns
+    docs, (text_col,) = plain(docs, text_col)
     found = scan(docs, bench, text_col=text_col, **options)
     if remove == "documents":
-        return found.where(F.octet_length("_hits") == 0).select(docs.columns)
+        return found.where(F.octet_length("_hits") == 0).select(docs.columns).toDF(*given)
     at = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +169,7 @@ def decontaminated(docs: DataFrame, bench: DataFrame, remove: str = "spans", tex
             yield pa.RecordBatch.from_arrays(columns, names=docs_schema)
 
     docs_schema = docs.columns
-    return found.mapInArrow(cut, docs.schema)
+    return found.mapInArrow(cut, docs.schema).toDF(*given)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Lexicon, ids_and_texts, raw_texts, rolled, slices, table, written
+from .common import U64, Lexicon, ids_and_texts, plain, raw_texts, rolled, slices, table, written
 
 WIDTH, SHARE = 5, 80
 BANDS, ROWS = 28, 4
@@ -261,6 +261,8 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept(docs: DataFrame, share: int = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each class, the smallest id; rows without an id stay, of rows with one id the first by text."""
+    given = docs.columns
+    docs, (id_col, text_col) = plain(docs, id_col, text_col)
     found = classes(ids_and_texts(docs, id_col, text_col), share)
     gone = written(found.where("doc_id != component_id").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
     again = written(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col)), "again")
@@ -268,4 +270,4 @@ def kept(docs: DataFrame, share: int = SHARE, id_col: str = "doc_id", text_col:
     if again.head(1):
         once = out.join(again, id_col, "left_semi").groupBy(id_col).agg(F.min(F.struct(text_col, *[c for c in docs.columns if c != text_col])).alias("_first")).select("_first.*").select(docs.columns)
         out = out.join(again, id_col, "left_anti").select(docs.columns).unionByName(once)
-    return out
+    return out.toDF(*given)

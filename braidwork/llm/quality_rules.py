@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, table
+from .common import ids_and_texts, plain, table
 
 SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, REPEAT_PERCENT = 50, 50
@@ -50,7 +50,9 @@ def doubles(values: list[float]) -> Column:
 
 
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with columns more, all starting with q_: the counts of the rules and q_char_distance, q_word_distance, q_lang."""
+    """docs with columns more, all starting with q_: the counts of the rules and q_char_distance, q_word_distance, q_lang. Columns of docs
+    that start with q_ are left out."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("q_")])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     out = docs.withColumn("q_text", text).withColumn("q_words", F.array_remove(F.split("q_text", SPACE), ""))
     low = (1 << BITS) - 1
@@ -120,8 +122,9 @@ def judged(docs: DataFrame, text_col: str = "text", guard_words: int = GUARD_WOR
 def kept(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that the rules keep, unchanged."""
     # the row number keeps the filter above the projections; pushed below, it would repeat all of them inside each lambda
-    rows = judged(docs, text_col).select(*docs.columns, "q_kept", F.monotonically_increasing_id().alias("q_row"))
-    return rows.where((F.col("q_row") >= 0) & F.col("q_kept")).select(docs.columns)
+    own, (text,) = plain(docs, text_col)
+    rows = judged(own, text).select(*own.columns, "q_kept", F.monotonically_increasing_id().alias("q_row"))
+    return rows.where((F.col("q_row") >= 0) & F.col("q_kept")).select(own.columns).toDF(*docs.columns)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Lexicon, ids_and_texts, partitions, raw_texts, rolled, table, written
+from .common import U64, Lexicon, ids_and_texts, partitions, plain, raw_texts, rolled, table, written
 
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 32 << 20
@@ -198,8 +198,9 @@ def _by_block(block: np.ndarray, values: np.ndarray) -> pa.Table:
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, digest: bool = False) -> DataFrame:
     """All rows of docs with _words, _removed (long), and the kept words joined by one space: their sha256 as _kept if digest, else in
-    place of the text of rows that lose words (others keep theirs byte for byte). window: at least PERIOD words."""
-    spark = docs.sparkSession
+    place of the text of rows that lose words (others keep theirs byte for byte). window: at least PERIOD words. Columns of docs with these
+    three names are left out."""
+    spark, docs = docs.sparkSession, docs.drop("_words", "_removed", "_kept")
     blocks = written(packed(docs, id_col, text_col), "blocks", codec="none")
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(partitions(spark), -(-total * 8 * len(COVER) // (6 * PERIOD * BUCKET_BYTES)))
@@ -263,6 +264,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return blocks.join(gathered(later), "block", "left").select("block", "payload", "data").mapInArrow(emit, schema)
 
 
+def kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """docs without the words of later windows: the same rows and columns."""
+    own, (key, text) = plain(docs, id_col, text_col)
+    return deduplicated(own, key, text, window).select(own.columns).toDF(*docs.columns)
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = deduplicated(ids_and_texts(table(spark, sf_dir, "documents")), digest=True)
     return out.select("doc_id", F.col("_words").alias("n_words"), F.col("_removed").alias("n_removed"), F.col("_kept").alias("kept_sha256"))

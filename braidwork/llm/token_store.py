@@ -49,7 +49,7 @@ class WordEncoder:
 
     Where the file's steps are those of STEPS, plain stretches go straight to its BPE model, which spares most of the time."""
 
-    MOST, YOUNG = 1 << 17, 1 << 18
+    MOST, YOUNG = 1 << 18, 1 << 18
 
     def __init__(self, json_text: str):
         from tokenizers import Tokenizer
