@@ -78,7 +78,10 @@ def last_segment(iri: Column) -> Column:
 def resource_title(iri: Column) -> Column:
     """Title of a resource IRI in angle brackets; null where its escapes are not UTF-8. A plus sign stays one."""
     part = last_segment(F.regexp_replace(iri, "^<+|>+$", ""))
-    return F.translate(F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))), "_", " ")
+    title = F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    # the decoder puts a replacement character where bytes are no text
+    broken = title.contains("\ufffd") & ~part.contains("\ufffd") & ~F.upper(part).contains("%EF%BF%BD")
+    return F.when(~broken, F.translate(title, "_", " "))
 
 
 def csv_quoted(x: Column) -> Column:

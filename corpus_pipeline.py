@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(substring_dedup.deduplicated(docs), docs.columns)
+    return _counted(substring_dedup.kept(docs), docs.columns)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +42,13 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids, and digests of the ids and of the bytes they decode to."""
+    """The columns of docs but for text, n_chars and those it makes: n_tokens, ids, and digests of the ids and of the bytes they decode to."""
     import public_tokenizers
 
     out, codec = byte_bpe.encoded(docs, byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    ids = F.col("_ids")
+    ids, made = F.col("_ids"), {"text", "n_chars", "_ids", "n_tokens", "ids", "ids_sha256", "decoded_sha256"}
     return out.select(
-        *[c for c in docs.columns if c not in ("text", "n_chars")],
+        *[c for c in docs.columns if c.lower() not in made],
         F.size(ids).cast("long").alias("n_tokens"),
         ids.alias("ids"),
         F.sha2(codec.packed(ids), 256).alias("ids_sha256"),
