@@ -79,8 +79,8 @@ def test_substring_dedup_edges(spark):
     odd = frame(spark, rows, "doc_id long, text string, _words int, payload string")
     got = sorted((str(r.doc_id), r._words, r._removed) for r in substring_dedup.deduplicated(odd).collect())
     assert got == [("3", 25, 0), ("3", 25, 25), ("None", 0, 0), ("None", 25, 25)]
-    kept = sorted((str(r.doc_id), r._words, str(r.payload)) for r in substring_dedup.kept(odd).collect())
-    assert kept == sorted((str(k), n, str(p)) for k, _, n, p in rows)
+    kept = sorted((str(r.doc_id), str(r._words), str(r.payload)) for r in substring_dedup.kept(odd).collect())
+    assert kept == sorted((str(k), str(n), str(p)) for k, _, n, p in rows)
 
 
 # ---- 2
