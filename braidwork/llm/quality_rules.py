@@ -116,7 +116,10 @@ def judged(docs: DataFrame, text_col: str = "text", guard_words: int = GUARD_WOR
     both_far = (F.col("q_char_distance") > both[0]) & (F.col("q_word_distance") > both[1])
     far = (F.col("q_n_words") >= guard_words) & ((F.col("q_char_distance") > max_char) | both_far)
     failed = (F.col("q_n_words") < MIN_WORDS) | (100 * F.col("q_repeat_words") > REPEAT_PERCENT * F.col("q_n_words"))
-    return measured(docs, text_col).withColumns({"q_base_failed": failed, "q_kept": ~(failed | far)})
+    out = measured(docs, text_col).withColumns({"q_base_failed": failed, "q_kept": ~(failed | far)})
+    # a filter on the results stays above this row number; pushed below the projections, it would repeat all of them inside each lambda
+    above = F.monotonically_increasing_id() >= 0
+    return out.select(*[F.when(above, F.col(c)).alias(c) if c.startswith("q_") else F.col(c) for c in out.columns])
 
 
 def kept(docs: DataFrame, text_col: str = "text") -> DataFrame:
