@@ -10,6 +10,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -79,7 +80,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -
     """Runs of rows of about `most` text bytes, so that word objects of a whole batch never exist at once."""
     if not batch.num_rows:
         return
-    sizes = np.cumsum([len(x) if (x := v.as_py()) is not None else 0 for v in batch.column(text)])
+    sizes = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
         seen = sizes[at - 1] if at else 0

@@ -49,7 +49,7 @@ class WordEncoder:
 
     Where the file's steps are those of STEPS, plain stretches go straight to its BPE model, which spares most of the time."""
 
-    MOST, YOUNG = 1 << 18, 1 << 18
+    MOST, YOUNG = 1 << 17, 1 << 18
 
     def __init__(self, json_text: str):
         from tokenizers import Tokenizer
@@ -105,7 +105,8 @@ class WordEncoder:
         if len(young) > self.YOUNG:
             young.clear()
         young.update(new)
-        return [b"".join([known[w] if w in known else new[w] for w in words]) for words in parted]
+        get, new[""] = known.get, b""  # an empty answer is looked up again
+        return [b"".join([get(w) or new[w] for w in words]) for words in parted]
 
 
 def planes(ids: np.ndarray, kind: str, level: int = LEVEL) -> list[bytes]:
