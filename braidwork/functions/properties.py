@@ -9,6 +9,7 @@ def _set(numbers: str) -> frozenset[str]:
     return frozenset(f"P{n}" for n in numbers.split())
 
 
+# Property numbers by class, and their names.
 NAMES = {
     f"P{n}": name
     for n, _, name in (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import TITLE_CHARS
 
+# Namespaces and site names.
 #: Namespaces that never name an article.
 BLOCKED = tuple("category draft file help image mediawiki module portal special talk template user wikipedia wp".split())
 #: Sitelinks that end in `wiki` without being encyclopedias.

@@ -14,6 +14,7 @@ from ..functions.text import link_target, utrim
 BRACKETS = r"\[\[([^\[\]]*)\]\]"
 _PAIR = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
 TEMPLATE = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("positional", T.ArrayType(T.StringType())), T.StructField("named", T.ArrayType(_PAIR))]))
+# Template names by what their arguments hold.
 #: How many places to skip and whether to take all that follow, by template name; a step of 2 takes every other one.
 _ILL = "ill;illm;ill-wd;interlanguage link;interlanguage link multi;interwiki link;link-interwiki"
 _HAT = "broader;details;further;main;see also"
