@@ -132,6 +132,23 @@ def test_lm_edges(spark):
     assert attention_lm.scored(docs.limit(0), F.lit(True), ranks, P.PATTERN).count() == 0
 
 
+def test_lm_learns_from_all_documents(spark, monkeypatch):
+    """However small the sample that starts the network, every training document makes classes and moves weights and shares."""
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    monkeypatch.setattr(attention_lm, "DOCS", 1)
+    monkeypatch.setattr(attention_lm, "TRAIN_WINDOWS", 1)
+    kinds = ["river", "castle", "window", "music", "garden", "bridge", "winter", "market"]
+    docs = spark.createDataFrame([(i, f"{w} " * 200) for i, w in enumerate(kinds)], DOCS)
+    counts = attention_lm.word_counts(docs)
+    network = attention_lm.fitted(docs, counts, len(kinds), ranks, P.PATTERN).network
+    first = attention_lm.Network(network.classes, network.begin, network.rows)
+    ids = [int(np.frombuffer(attention_lm.Speller(ranks, P.PATTERN)[w.encode()], "<u4")[0]) for w in kinds]
+    assert len({network.classes[i] for i in ids}) == len(kinds)
+    assert all((network.p["e"][network.rows[i]] != first.p["e"][network.rows[i]]).any() for i in ids)
+    assert attention_lm.learned(docs, first, ranks, P.PATTERN) == sum(201 for _ in kinds)
+
+
 # ---- 5
 
 MAIL = [
