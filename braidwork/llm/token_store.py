@@ -36,8 +36,8 @@ CHUNKS = "shard int, chunk int, n_ids long, kind string, doc_ids array<long>, le
 #: Bytes to the printable characters that byte-level vocabularies spell them with.
 SPELT = {b: chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255 else None for b in range(256)}
 SPELT |= {b: chr(256 + i) for i, b in enumerate(b for b, c in SPELT.items() if c is None)}
-#: Letters of scripts below U+0250, then ASCII signs other than the apostrophe: two pre-tokens at most, whose bounds are certain.
-PLAIN = re.compile("([A-Za-z\u00c0-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Letters of scripts below U+0250 (not the signs U+00D7 and U+00F7), then ASCII signs other than the apostrophe: two pre-tokens at most, whose bounds are certain.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: The parts of a tokenizer file that make PLAIN certain.
 STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -55,6 +55,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json_text)
+        # not the library's default: a text that spells a control token is text, and must not end a document in the store
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.young: dict[str, bytes] = {}
@@ -79,7 +80,7 @@ class WordEncoder:
                         spelt = part.lower()
                     else:
                         low = "".join(c.lower() for c in unicodedata.normalize("NFC", part))
-                        if part[0].isalpha() and not low.isalpha():
+                        if not low.isalpha():
                             break
                         spelt = low.encode().decode("latin-1").translate(SPELT)
                     parts[part] = struct.pack(f"<{len(found := tokenize(spelt))}I", *[t.id for t in found])
