@@ -39,8 +39,8 @@ shop.bakery.test/bread www.council.test/services m.railway.test/times www.ther.t
 www.football.test/results chess.club.test/games photos.nature.test/birds job.board.test/list www.bank.test/branches film.review.test/en/11
 www.thand.test/en/474 edit.paper.test/fr/16 on.ered.test/de/90 m.ention.test/en/4""".split()
 
-#: Each once as it stands and once below a subdomain that says nothing.
-LABELLED = [(p + u.removeprefix("www.").replace(".test", ".registry.test"), y) for y, urls in ((1, UNWANTED), (0, WANTED)) for k, u in enumerate(urls) for p in ("", ("www.", "m.", "blog.")[k % 3])]
+#: Each once as it stands and once below a subdomain; last labels fall to both kinds alike.
+LABELLED = [(p + u.removeprefix("www.").replace(".test", last), y) for y, urls in ((1, UNWANTED), (0, WANTED)) for k, u in enumerate(urls) for p, last in (("", ".com"), (("www.", "m.", "blog.")[k % 3], (".org", ".net", ".test")[k % 3]))]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -50,14 +50,13 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def grams(host: Column, path: Column, slots: int = SLOTS) -> Column:
-    """Distinct slots of the 3- and 4-grams of host (without its last two labels, which name the registry) and path."""
-    own = F.regexp_replace(host, r"(\.[^.]*){1,2}$", "")
+    """Distinct slots of the 3- and 4-grams of the whole host, each label between two dots, and path."""
 
     def of(text: Column, n: int, kind: str) -> Column:
         at = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>"))
         return F.transform(at, lambda i: F.pmod(F.xxhash64(F.lit(kind), F.substring(text, i, F.lit(n))), F.lit(slots)).cast("int"))
 
-    marked, tail = F.concat(F.lit("^"), own, F.lit("$")), F.translate(path, "0123456789", "0000000000")
+    marked, tail = F.concat(F.lit("."), host, F.lit(".")), F.translate(path, "0123456789", "0000000000")
     return F.array_distinct(F.concat(of(marked, 3, "h3"), of(marked, 4, "h4"), of(tail, 4, "p4")))
 
 
