@@ -1,23 +1,32 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
-The rank map is one literal: an array of small maps, indexed by a hash of the bytes, so that a look-up touches one entry. A word is
-folded over its byte array: each step joins the leftmost pair of least rank, and only the ranks beside it are looked up anew.
+The rank map is one literal: an array of small maps, indexed by a hash of the key, so that a look-up touches one entry. It is held by pairs:
+the ids of two neighbours lead to the rank of the two joined. A word is folded over its byte array. The fold's state is two strings, one
+character for each piece and one for the rank of each pair of neighbours, in order of rank; a step joins the leftmost pair of least rank, and
+only the two ranks beside it are looked up anew.
 
-Distinct words are folded once: the REMEMBERED most frequent ones of all documents (counted over whole texts) become a second literal
-of the same shape, of bounded size; a word that is not among them is folded where it stands. Either way gives the same ids, so the
-number bears on speed alone. The only shuffle is that of partial word counts; documents never move.
+A stretch without a break of more than LONG bytes is folded in blocks of LONG bytes, whose pieces are then stitched from left to right: a few pieces on
+both sides of a border are folded again together. Pieces are those of the whole stretch if and only if each two neighbours, folded alone, stay the two
+pieces they are, so that is checked at the new borders, and more pieces are taken until it holds. The work grows with the length, and the
+ids do not depend on where the blocks lie.
+
+Distinct words are folded once: the REMEMBERED most frequent ones of all documents (counted over whole texts; of at most LONG bytes each, which
+bounds the bytes) become a second literal of the same shape; a word that is not among them is folded where it stands. Either way gives
+the same ids, so the number bears on speed alone. The only shuffle is that of partial word counts; documents never move.
 
 Words are the matches of the tokenizer's pattern, whose white space is spelt out as Unicode's White_Space. Decoding looks up each id's
-bytes and joins them.
+bytes and joins them. The literals are made through the session's Java side (as_literal), which is no public interface of PySpark.
 
-Defined edge cases: null and empty texts have no ids and decode to nothing; each row stands for itself, repeated or not; an empty table
-gives no rows; other columns are untouched. A stretch of n bytes without a break takes n * n steps of array copying.
+Defined edge cases: null and empty texts have no ids and decode to nothing; each row stands for itself, repeated or not; of pairs of one rank the leftmost
+is joined first; an empty table gives no rows; other columns are untouched, but for one named _ids, which is left out; very long texts are folded word
+by word, and a word of any length takes time in proportion to it (but for stitches that need many pieces).
 """
 
 from __future__ import annotations
 
 import base64
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,15 +34,20 @@ from .common import ids_and_texts, partitions, table, written
 
 WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-REMEMBERED = 1 << 19
-#: A rank beyond all others; places in a word are below PLACES; the state of a byte that begins no piece.
-NONE, PLACES = 2**31 - 1, 1 << 31
-GONE = 2**63 - 1
+REMEMBERED, LONG = 1 << 19, 64
+#: Characters of a word's ends, of a pair without a rank, and of rank 0; ranks in order, without the surrogates.
+EDGE, NONE, FIRST = "\x01", "\U0010ffff", 0x100
+#: Pieces on each side of a border that are folded again.
+STITCHES = (4, 16, 64, 1 << 30)
+
+
+def _char(rank: int) -> str:
+    return chr(FIRST + rank if FIRST + rank < 0xD800 else FIRST + rank + 0x800)
 
 
 def _let(value: Column, body) -> Column:
     """body(value), with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array().cast("array<int>"), value, lambda x, _: x, body)
 
 
 def as_literal(one: DataFrame) -> Column:
@@ -49,12 +63,19 @@ class Codec:
     """Columns that encode and decode by the ranks of a tiktoken file."""
 
     def __init__(self, spark: SparkSession, ranks: list[tuple[bytes, int]], buckets: int = 1 << 16):
-        self.spark = spark
-        rows = spark.createDataFrame([(bytearray(t), r) for t, r in ranks], "token binary, id int")
-        self.ranks, self.mask = self._literal(rows, "token", "id", buckets), buckets - 1
-        by_id = rows.agg(F.array_sort(F.collect_list(F.struct("id", F.hex("token").alias("bytes")))).alias("all"))
         if sorted(r for _, r in ranks) != list(range(len(ranks))):
             raise ValueError("ranks must be 0, 1, 2, ...")
+        self.spark, by_token = spark, dict(ranks)
+        if missing := [b for b in range(256) if bytes([b]) not in by_token]:
+            raise ValueError(f"bytes without a rank: {missing[:8]}")
+        rows = spark.createDataFrame(pa.table({"token": pa.array([t for t, _ in ranks], pa.binary()), "id": pa.array([r for _, r in ranks], pa.int32())}))
+        self.whole, self.mask = self._literal(rows, "token", "id", buckets), buckets - 1
+        cuts = ((by_token.get(t[:k]), by_token.get(t[k:]), r) for t, r in ranks for k in range(1, len(t)))
+        pairs = [(_char(a) + _char(b), _char(r)) for a, b, r in cuts if a is not None and b is not None]
+        rows_of = spark.createDataFrame(pa.table({"pair": pa.array([k for k, _ in pairs], pa.string()), "joined": pa.array([r for _, r in pairs], pa.string())}))
+        self.pairs, self.pair_mask = self._literal(rows_of, "pair", "joined", 4 * buckets), 4 * buckets - 1
+        self.bytes = "".join(map(chr, range(256))), "".join(_char(by_token[bytes([b])]) for b in range(256))
+        by_id = rows.agg(F.array_sort(F.collect_list(F.struct("id", F.hex("token").alias("bytes")))).alias("all"))
         self.spelt = as_literal(by_id.select(F.transform("all", lambda x: x["bytes"])))
         little = "concat(lpad(hex(x.id & 255), 2, '0'), lpad(hex((x.id >> 8) & 255), 2, '0'), lpad(hex((x.id >> 16) & 255), 2, '0'), lpad(hex((x.id >> 24) & 255), 2, '0'))"
         self.little = as_literal(by_id.select(F.expr(f"transform(all, x -> {little})")))
@@ -70,42 +91,80 @@ class Codec:
         return as_literal(every.coalesce(1).sortWithinPartitions("slot").agg(F.collect_list(F.coalesce("m", empty))))
 
     def rank(self, token: Column) -> Column:
-        return F.get(self.ranks, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int"))[token]
+        return F.get(self.whole, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int"))[token]
 
-    def folded(self, word: Column) -> Column:
-        """Ids of one word (binary).
+    def _joined(self, pair: Column) -> Column:
+        """The character of two pieces joined, NONE if they have no rank."""
+        return F.coalesce(F.get(self.pairs, F.xxhash64(pair).bitwiseAND(F.lit(self.pair_mask)).cast("int"))[pair], F.lit(NONE))
 
-        The state is one long for each byte: of a byte that begins a piece, the rank of that piece joined with the next one, then the place
-        where the piece ends; GONE of all others. So the least entry is the leftmost pair of least rank."""
-        n = F.octet_length(word)
-        piece = lambda start, end: F.substring(word, start + 1, end - start)
-        end_of = lambda x: x.bitwiseAND(F.lit(PLACES - 1)).cast("int")
-        packed = lambda rank, end: F.coalesce(rank, F.lit(NONE)).cast("long") * F.lit(PLACES) + end
+    def pieces(self, word: Column) -> Column:
+        """A character for each piece of one word (binary, not empty): the fold of ranked merges."""
+        n, none = F.octet_length(word), F.lit(NONE)
+        edged = F.concat(F.lit(EDGE), F.translate(F.decode(word, "ISO-8859-1"), *self.bytes), F.lit(EDGE))
+
+        def start(own: Column) -> Column:
+            inner = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
+            ranks = F.array_join(F.transform(inner, lambda i: self._joined(F.substring(own, i, F.lit(2)))), "")
+            return state(own, F.concat(none, ranks, none), False)
 
-        def step(v: Column, _: Column) -> Column:
+        def state(own: Column, ranks: Column, done: bool) -> Column:
+            return F.struct(own.alias("own"), ranks.alias("ranks"), F.lit(done).alias("done"))
+
+        def step(s: Column, _: Column) -> Column:
             def join(least: Column) -> Column:
-                at = F.struct((F.array_position(v, least) - 1).cast("int").alias("p"), end_of(least).alias("q"), end_of(F.get(v, end_of(least))).alias("end"))
+                def at(p: Column) -> Column:
+                    def moved(own: Column) -> Column:
+                        right = F.overlay(s["ranks"], self._joined(F.substring(own, p, F.lit(2))), p, F.lit(2))
+                        return state(own, F.overlay(right, self._joined(F.substring(own, p - 1, F.lit(2))), p - 1, F.lit(1)), False)
 
-                def moved(s: Column) -> Column:
-                    p, end = s["p"], s["end"]
-                    beyond = F.when(end < n, self.rank(piece(p, end_of(F.get(v, end)))))
-                    return F.transform(v, lambda x, i: F.when(i == p, packed(beyond, end)).when(i == s["q"], F.lit(GONE)).when(end_of(x) == p, packed(self.rank(piece(i, end)), p)).otherwise(x))
+                    return _let(F.overlay(s["own"], least, p, F.lit(2)), moved)
 
-                return F.when(least >= NONE * PLACES, v).otherwise(_let(at, moved))
+                return F.when(least == none, state(s["own"], s["ranks"], True)).otherwise(_let(F.instr(s["ranks"], least), at))
 
-            return _let(F.array_min(v), join)
+            return F.when(s["done"], s).otherwise(_let(F.array_min(F.split(s["ranks"], "")), join))
 
-        first = F.transform(F.sequence(F.lit(1), n), lambda i: packed(F.when(i < n, self.rank(F.substring(word, i, F.lit(2)))), i))
         steps = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-        last = F.aggregate(steps, first, step)
-        ids = F.array_compact(F.transform(last, lambda x, i: F.when(x != GONE, self.rank(piece(i, end_of(x))))))
-        return _let(self.rank(word), lambda whole: F.when(n == 0, F.array().cast("array<int>")).when(whole.isNotNull(), F.array(whole)).otherwise(ids))
+        return _let(F.aggregate(steps, _let(edged, start), step)["own"], lambda own: F.substring(own, F.lit(2), F.length(own) - 2))
+
+    def _numbers(self, pieces: Column) -> Column:
+        """Ids of characters."""
+        code = lambda c: F.ascii(c) - F.when(F.ascii(c) >= 0xE000, F.lit(FIRST + 0x800)).otherwise(F.lit(FIRST))
+        return F.transform(F.split(pieces, ""), code)
+
+    def stitched(self, word: Column) -> Column:
+        """pieces() of a word of any length, in blocks."""
+        n = F.octet_length(word)
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / LONG).cast("int")), lambda k: self.pieces(F.substring(word, k * LONG + 1, F.lit(LONG))))
+        again = lambda part: self.pieces(self.decoded(self._numbers(part)))
+
+        def join(left: Column, right: Column) -> Column:
+            def attempt(s: Column, j: Column) -> Column:
+                kept = F.greatest(F.length(left) - j, F.lit(0))
+
+                def checked(middle: Column) -> Column:
+                    before = F.when(kept > 0, F.concat(F.substring(left, kept, F.lit(1)), F.left(middle, F.lit(1))))
+                    after = F.when(F.length(right) > j, F.concat(F.right(middle, F.lit(1)), F.substring(right, j + 1, F.lit(1))))
+                    sound = F.forall(F.array_compact(F.array(before, after)), lambda two: again(two) == two)
+                    return F.when(sound, F.concat(F.left(left, kept), middle, F.when(F.length(right) > j, F.substring(right, j + 1, F.length(right))).otherwise(F.lit(""))))
+
+                return F.coalesce(s, _let(again(F.concat(F.substring(left, kept + 1, F.length(left)), F.left(right, j))), checked))
+
+            return F.aggregate(F.array(*map(F.lit, STITCHES)), F.lit(None).cast("string"), attempt)
+
+        return F.aggregate(F.slice(blocks, F.lit(2), F.size(blocks)), F.get(blocks, F.lit(0)), join)
+
+    def folded(self, word: Column) -> Column:
+        """Ids of one word (binary): its own rank where it has one, else those of its pieces."""
+        n = F.octet_length(word)
+        pieces = F.when(n <= LONG, self.pieces(word)).otherwise(self.stitched(word))
+        return F.when(n == 0, F.array().cast("array<int>")).otherwise(_let(self.rank(word), lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(self._numbers(pieces))))
 
     def remember(self, docs: DataFrame, text_col: str = "text", most: int = REMEMBERED) -> None:
         """Fold the most frequent distinct words of docs once, into a literal of at most `most` words: all words above the least count that
         leaves no more of them. Counts of counts, in steps of an eighth of a doubling, decide it, so no task sorts the words."""
         spark = docs.sparkSession
-        counts = docs.select(F.explode(words(F.col(text_col))).alias("word")).groupBy("word").count().where("count > 1")
+        every = docs.select(F.explode(words(F.col(text_col))).alias("word")).where(F.octet_length("word") <= LONG)
+        counts = every.groupBy("word").count().where("count > 1")
         counts = written(counts.select("word", F.floor(F.log2("count") * 8).cast("int").alias("size")), "words")
         room, least = most, None
         for size, n in sorted(counts.groupBy("size").agg(F.count("*")).collect(), reverse=True):
@@ -151,6 +210,7 @@ def read_ranks(path: str) -> list[tuple[bytes, int]]:
 
 def encoded(docs: DataFrame, ranks: list[tuple[bytes, int]], text_col: str = "text", most: int = REMEMBERED) -> tuple[DataFrame, Codec]:
     """docs with _ids (array<int>), and the codec that made them."""
+    docs = docs.drop("_ids")
     codec = Codec(docs.sparkSession, ranks)
     codec.remember(docs, text_col, most)
     return docs.withColumn("_ids", codec.ids(F.col(text_col))), codec
