@@ -90,6 +90,21 @@ class Codec:
         empty = F.expr(f"map_filter(map({_zero(rows, key)}, {_zero(rows, value)}), (k, v) -> false)")
         return as_literal(every.coalesce(1).sortWithinPartitions("slot").agg(F.collect_list(F.coalesce("m", empty))))
 
+    def _bound(self, names: list[str], body) -> Column:
+        """body(), in which the named literals are variables, so that each stands in the plan once: Spark hashes a literal wherever it stands."""
+        if not names:
+            return body()
+        held = getattr(self, names[0])
+
+        def inner(variable: Column) -> Column:
+            setattr(self, names[0], variable)
+            try:
+                return self._bound(names[1:], body)
+            finally:
+                setattr(self, names[0], held)
+
+        return _let(held, inner)
+
     def rank(self, token: Column) -> Column:
         return F.get(self.whole, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int"))[token]
 
@@ -155,6 +170,9 @@ class Codec:
 
     def folded(self, word: Column) -> Column:
         """Ids of one word (binary): its own rank where it has one, else those of its pieces."""
+        return self._bound(["whole", "pairs", "spelt"], lambda: self._folded(word))
+
+    def _folded(self, word: Column) -> Column:
         n = F.octet_length(word)
         pieces = F.when(n <= LONG, self.pieces(word)).otherwise(self.stitched(word))
         return F.when(n == 0, F.array().cast("array<int>")).otherwise(_let(self.rank(word), lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(self._numbers(pieces))))
@@ -179,12 +197,13 @@ class Codec:
         """array<int> of a whole text."""
 
         def one(word: Column) -> Column:
-            own = self.folded(F.encode(word, "utf-8"))
+            own = self._folded(F.encode(word, "utf-8"))
             if self.known is None:
                 return own
             return F.coalesce(F.get(self.known, F.xxhash64(word).bitwiseAND(F.lit(self.known_mask)).cast("int"))[word], own)
 
-        return F.flatten(F.transform(words(text), one))
+        tables = ["whole", "pairs", "spelt"] + (["known"] if self.known is not None else [])
+        return self._bound(tables, lambda: F.flatten(F.transform(words(text), one)))
 
     def packed(self, ids: Column) -> Column:
         """Ids as little-endian unsigned 32-bit integers."""
