@@ -34,7 +34,7 @@ from .common import ids_and_texts, partitions, table, written
 
 WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-REMEMBERED, LONG = 1 << 19, 64
+REMEMBERED, LONG = 1 << 18, 64
 #: Characters of a word's ends, of a pair without a rank, and of rank 0; ranks in order, without the surrogates.
 EDGE, NONE, FIRST = "\x01", "\U0010ffff", 0x100
 #: Pieces on each side of a border that are folded again.
@@ -73,7 +73,8 @@ class Codec:
         cuts = ((by_token.get(t[:k]), by_token.get(t[k:]), r) for t, r in ranks for k in range(1, len(t)))
         pairs = [(_char(a) + _char(b), _char(r)) for a, b, r in cuts if a is not None and b is not None]
         rows_of = spark.createDataFrame(pa.table({"pair": pa.array([k for k, _ in pairs], pa.string()), "joined": pa.array([r for _, r in pairs], pa.string())}))
-        self.pairs, self.pair_mask = self._literal(rows_of, "pair", "joined", 4 * buckets), 4 * buckets - 1
+        self.pairs = self._literal(rows_of, "pair", "joined", buckets)
+        self.beyond = FIRST + len(ranks) > 0xD800
         self.bytes = "".join(map(chr, range(256))), "".join(_char(by_token[bytes([b])]) for b in range(256))
         by_id = rows.agg(F.array_sort(F.collect_list(F.struct("id", F.hex("token").alias("bytes")))).alias("all"))
         self.spelt = as_literal(by_id.select(F.transform("all", lambda x: x["bytes"])))
@@ -103,14 +104,15 @@ class Codec:
             finally:
                 setattr(self, names[0], held)
 
-        return _let(held, inner)
+        # an array of one: a fold's start would be copied, all of it, for each row
+        return F.get(F.transform(F.array(held), inner), F.lit(0))
 
     def rank(self, token: Column) -> Column:
         return F.get(self.whole, F.xxhash64(token).bitwiseAND(F.lit(self.mask)).cast("int"))[token]
 
     def _joined(self, pair: Column) -> Column:
         """The character of two pieces joined, NONE if they have no rank."""
-        return F.coalesce(F.get(self.pairs, F.xxhash64(pair).bitwiseAND(F.lit(self.pair_mask)).cast("int"))[pair], F.lit(NONE))
+        return F.coalesce(F.get(self.pairs, F.xxhash64(pair).bitwiseAND(F.lit(self.mask)).cast("int"))[pair], F.lit(NONE))
 
     def pieces(self, word: Column) -> Column:
         """A character for each piece of one word (binary, not empty): the fold of ranked merges."""
@@ -143,7 +145,8 @@ class Codec:
 
     def _numbers(self, pieces: Column) -> Column:
         """Ids of characters."""
-        code = lambda c: F.ascii(c) - F.when(F.ascii(c) >= 0xE000, F.lit(FIRST + 0x800)).otherwise(F.lit(FIRST))
+        above = lambda c: F.when(F.ascii(c) >= 0xE000, F.lit(FIRST + 0x800)).otherwise(F.lit(FIRST)) if self.beyond else F.lit(FIRST)
+        code = lambda c: F.ascii(c) - above(c)
         return F.transform(F.split(pieces, ""), code)
 
     def stitched(self, word: Column) -> Column:
@@ -191,7 +194,8 @@ class Codec:
             room, least = room - n, size
         top = counts.where(F.col("size") >= (10**6 if least is None else least)).select("word")
         folded = written(top.repartition(partitions(spark)).select("word", self.folded(F.encode("word", "utf-8")).alias("ids")), "folded")
-        self.known, self.known_mask = self._literal(folded, "word", "ids", most), most - 1
+        slots = max(most // 2, 1)
+        self.known, self.known_mask = self._literal(folded, "word", "ids", slots), slots - 1
 
     def ids(self, text: Column) -> Column:
         """array<int> of a whole text."""
