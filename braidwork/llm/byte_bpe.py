@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from .common import ids_and_texts, partitions, table, written
 
 WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
-PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-REMEMBERED, LONG = 1 << 18, 64
+#: Letters and digits first: they never begin where a contraction does, so the matches are the tokenizer's.
+PATTERN = rf" ?\p{{L}}++| ?\p{{N}}++|'(?:s|t|re|ve|m|ll|d)| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+REMEMBERED, LONG = 1 << 19, 64
 #: Characters of a word's ends, of a pair without a rank, and of rank 0; ranks in order, without the surrogates.
 EDGE, NONE, FIRST = "\x01", "\U0010ffff", 0x100
 #: Pieces on each side of a border that are folded again.
@@ -73,7 +74,7 @@ class Codec:
         cuts = ((by_token.get(t[:k]), by_token.get(t[k:]), r) for t, r in ranks for k in range(1, len(t)))
         pairs = [(_char(a) + _char(b), _char(r)) for a, b, r in cuts if a is not None and b is not None]
         rows_of = spark.createDataFrame(pa.table({"pair": pa.array([k for k, _ in pairs], pa.string()), "joined": pa.array([r for _, r in pairs], pa.string())}))
-        self.pairs = self._literal(rows_of, "pair", "joined", buckets)
+        self.pairs, self.pair_mask = self._literal(rows_of, "pair", "joined", 2 * buckets), 2 * buckets - 1
         self.beyond = FIRST + len(ranks) > 0xD800
         self.bytes = "".join(map(chr, range(256))), "".join(_char(by_token[bytes([b])]) for b in range(256))
         by_id = rows.agg(F.array_sort(F.collect_list(F.struct("id", F.hex("token").alias("bytes")))).alias("all"))
@@ -112,7 +113,7 @@ class Codec:
 
     def _joined(self, pair: Column) -> Column:
         """The character of two pieces joined, NONE if they have no rank."""
-        return F.coalesce(F.get(self.pairs, F.xxhash64(pair).bitwiseAND(F.lit(self.mask)).cast("int"))[pair], F.lit(NONE))
+        return F.coalesce(F.get(self.pairs, F.xxhash64(pair).bitwiseAND(F.lit(self.pair_mask)).cast("int"))[pair], F.lit(NONE))
 
     def pieces(self, word: Column) -> Column:
         """A character for each piece of one word (binary, not empty): the fold of ranked merges."""

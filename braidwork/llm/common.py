@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
-#: Odd multiplier of every rolling hash.
-ROLL = 0x9E3779B97F4A7C15
+#: Odd multipliers of rolling hashes: two, so that two hashes of one run are independent.
+ROLL, ROLL_TOO = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 #: Text bytes that a worker turns into word objects at a time.
 SLICE_BYTES = 4 << 20
 
@@ -28,11 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder (spark.checkpoint.dir); a local one is set only where none is."""
+    """A new path in the cluster's shared folder (spark.checkpoint.dir); a local one only on one machine, and where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isEmpty():
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="braidwork-"))
             held = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = held.get()
@@ -62,6 +64,24 @@ def shared(spark: SparkSession, value: Any, make: Callable[[Any], Any] = lambda
     return get
 
 
+def tidy(run: Callable) -> Callable:
+    """run, a generator of Arrow batches, which hands memory back to the system when a task ends: workers live on between tasks and stages."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return tidied
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -95,11 +115,11 @@ def raw_texts(batch: pa.RecordBatch, text: str = "text") -> list[bytes | None]:
 
 
 class Lexicon(dict):
-    """Word bytes -> row of a table of two 64-bit word hashes; forgets everything when it is large."""
+    """Word bytes -> row of a table of two 64-bit word hashes; forgets everything when it is large, by words or by their bytes."""
 
-    def __init__(self, most: int = 1 << 19):
+    def __init__(self, most: int = 1 << 19, most_bytes: int = 32 << 20):
         super().__init__()
-        self.most, self.pairs = most, np.zeros((1 << 12, 2), U64)
+        self.most, self.most_bytes, self.size, self.pairs = most, most_bytes, 0, np.zeros((1 << 12, 2), U64)
 
     def __missing__(self, word: bytes) -> int:
         n = len(self)
@@ -107,18 +127,20 @@ class Lexicon(dict):
             self.pairs = np.vstack([self.pairs, np.zeros_like(self.pairs)])
         d = xxhash.xxh3_128_intdigest(word)
         self.pairs[n] = (d & (2**64 - 1), d >> 64)
+        self.size += len(word)
         self[word] = n
         return n
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
         """(len(words), 2) word hashes."""
-        if len(self) > self.most:
+        if len(self) > self.most or self.size > self.most_bytes:
             self.clear()
+            self.size = 0
         rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return self.pairs[rows]
 
 
-def rolled(h: np.ndarray, width: int) -> np.ndarray:
+def rolled(h: np.ndarray, width: int, roll: int = ROLL) -> np.ndarray:
     """Hash of each run of `width` items of the uint64 array h (by doubling)."""
     n = len(h) - width + 1
     if n <= 0:
@@ -129,11 +151,11 @@ def rolled(h: np.ndarray, width: int) -> np.ndarray:
         while True:
             if width & span:
                 part = power[done : done + n]
-                out = part.copy() if out is None else out * U64(pow(ROLL, span, 1 << 64)) + part
+                out = part.copy() if out is None else out * U64(pow(roll, span, 1 << 64)) + part
                 done += span
             if span * 2 > width:
                 return mixed(out)
-            power = power[:-span] * U64(pow(ROLL, span, 1 << 64)) + power[span:]
+            power = power[:-span] * U64(pow(roll, span, 1 << 64)) + power[span:]
             span *= 2
 
 

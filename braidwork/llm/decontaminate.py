@@ -3,12 +3,15 @@
 Words are runs of letters, digits and non-ASCII characters after A-Z are lower-cased. A window is `ngram` consecutive words of
 one item; an item with fewer words, but not none, is one window. Every word inside an occurrence is hit.
 
-The set is broadcast in blocks of at most BLOCK_BYTES of item text. A test set beyond one block is matched block after
-block: each pass carries the documents and the hits so far, and is written to the shared folder before the next.
+The set is broadcast in blocks of at most BLOCK_BYTES of item text. For a test set beyond one block, one pass over the documents looks up 64-bit
+hashes of the windows of all blocks, which are broadcast if there are at most MOST_HASHES; the rows without a match are done. The others, or all rows of a
+still larger test set, are matched exactly, block after block: each pass carries the hits so far, and is written to the shared folder
+before the next. Items of one text are broadcast once, with their ids; more ids than BLOCK_IDS of one text are dealt to several blocks.
 
 Defined edge cases: null and empty texts have no words; an item without text has no windows; an item whose id is null still marks
 words but is not listed; repeated items, ids and documents are each judged as they stand; an empty table gives no rows (documents)
-or no hits (test set).
+or no hits (test set); columns that clash with the operator's own are left out by scan() and kept by decontaminated(); a very long text is one row, whose
+words are in memory at once. No result depends on an order among ties: items are sets.
 """
 
 from __future__ import annotations
@@ -23,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROLL, U64, ids_and_texts, mixed, plain, slices, table, written
+from .common import ROLL, U64, Lexicon, ids_and_texts, mixed, plain, rolled, shared, slices, table, tidy, written
 
 NGRAM = 10
 #: Item text in one broadcast block; its windows take some forty times as much in a worker.
 BLOCK_BYTES = 2 << 20
+#: Ids of one text in a block, and window hashes (8 bytes each) that may be broadcast.
+BLOCK_IDS, MOST_HASHES = 4096, 16_000_000
 #: ASCII: A-Z to a-z, letters and digits as they are, everything else a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -86,12 +91,48 @@ class Grams:
 
 def blocks(bench: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[str | None, bytes]]]:
     """The test set in parts of bounded size; the size is measured, never assumed."""
-    items = bench.select(F.col(id_col).cast("string").alias("item"), F.encode(F.col(text_col).cast("string"), "utf-8").alias("text")).where(F.octet_length("text") > 0)
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    texts = _items(bench, id_col, text_col)
+    total = texts.agg(F.sum(F.octet_length("text") + 16 * F.size("ids"))).first()[0] or 0
     n = -(-total // most)
-    part = F.pmod(F.xxhash64("text"), F.lit(max(n, 1)))
+    part = F.pmod(F.xxhash64("text", "cut"), F.lit(max(n, 1)))
     for k in range(n):
-        yield [(r.item, bytes(r.text)) for r in items.where(part == k).collect()]
+        yield [(i, bytes(r.text)) for r in texts.where(part == k).collect() for i in r.ids]
+
+
+def _items(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """text, cut, ids: each text once, with at most some BLOCK_IDS of its distinct ids; a null id is one of them."""
+    items = bench.select(F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit("n")).alias("item"), F.encode(F.col(text_col).cast("string"), "utf-8").alias("text"))
+    items = items.where(F.octet_length("text") > 0).distinct()
+    many = items.groupBy("text").agg(F.ceil(F.count("*") / BLOCK_IDS).cast("int").alias("cuts"))
+    dealt = items.join(many, "text").withColumn("cut", F.pmod(F.xxhash64("item"), "cuts").cast("int"))
+    name = F.transform(F.collect_list("item"), lambda x: F.when(x != "n", F.substring(x, F.lit(2), F.length(x))))
+    return dealt.groupBy("text", "cut").agg(name.alias("ids"))
+
+
+def window_hashes(words: list[bytes], width: int, lexicon: Lexicon) -> np.ndarray:
+    return rolled(lexicon.hashes(words)[:, 0], width)
+
+
+def suspects(bench: DataFrame, ngram: int, text_col: str, most: int) -> dict[int, np.ndarray] | None:
+    """Sorted hashes of all windows by their width, or nothing where there are more than `most`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                words = words_of(text)
+                if words:
+                    width = min(ngram, len(words))
+                    h = np.unique(window_hashes(words, width, lexicon))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), width, np.int32)), pa.array(h.view(np.int64))], names=["width", "h"])
+
+    rows = bench.select(F.encode(F.col(text_col).cast("string"), "utf-8").alias("text")).where("text IS NOT NULL").distinct().mapInArrow(run, "width int, h long").distinct()
+    rows = written(rows, "suspects")
+    if rows.count() > most:
+        return None
+    found = rows.toArrow()
+    width, h = found.column("width").to_numpy(), found.column("h").to_numpy().view(U64)
+    return {int(w): np.sort(h[width == w]) for w in np.unique(width)}
 
 
 def cleaned(text: bytes, hit: np.ndarray) -> bytes:
@@ -110,16 +151,46 @@ def scan(docs: DataFrame, bench: DataFrame, ngram: int = NGRAM, id_col: str = "i
     Columns of docs with these names are left out."""
     spark, docs = docs.sparkSession, docs.drop("_words", "_hits", "_items")
     own = docs.columns
-    parts = list(blocks(bench, id_col, bench_text, block_bytes)) if _one_block(bench, bench_text, block_bytes) else blocks(bench, id_col, bench_text, block_bytes)
     out = docs.withColumns({"_words": F.lit(None).cast("long"), "_hits": F.lit(None).cast("binary"), "_items": F.lit(None).cast("array<string>")})
+    clean = None
+    if not _one_block(bench, bench_text, block_bytes):
+        known = suspects(bench, ngram, bench_text, MOST_HASHES)
+        if known is not None:
+            marked = written(_marked(spark, out, known, text_col), "suspects")
+            clean, out = marked.where("_items IS NOT NULL"), marked.where("_items IS NULL")
     done = False
-    for part in parts or [[]]:
+    for part in blocks(bench, id_col, bench_text, block_bytes):
         if done:
             out = written(out, "decontaminate")
         out, done = _pass(spark, out, part, ngram, text_col), True
     if not done:
         out = _pass(spark, out, [], ngram, text_col)
-    return out.select(*own, "_words", "_hits", "_items")
+    return (out if clean is None else out.unionByName(clean)).select(*own, "_words", "_hits", "_items")
+
+
+def _marked(spark: SparkSession, docs: DataFrame, known: dict[int, np.ndarray], text_col: str) -> DataFrame:
+    """docs, of which the rows without a window of a known hash have their result: no hits and no items."""
+    get = shared(spark, known)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, known = Lexicon(), get()
+        for whole in batches:
+            for batch in slices(whole, text_col):
+                counts, flags, names = [], [], []
+                for text in batch.column(text_col).cast(pa.binary()).to_pylist():
+                    words = words_of(text)
+                    own = lexicon.hashes(words)[:, 0] if words else np.zeros(0, U64)
+                    met = False
+                    for width, hashes in known.items():
+                        h = rolled(own, width)
+                        met = met or bool(len(h) and (hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h).any())
+                    counts.append(len(words))
+                    flags.append(None if met else b"")
+                    names.append(None if met else [])
+                new = {"_words": pa.array(counts, pa.int64()), "_hits": pa.array(flags, pa.binary()), "_items": pa.array(names, pa.list_(pa.string()))}
+                yield pa.RecordBatch.from_arrays([new.get(c, batch.column(i)) for i, c in enumerate(batch.schema.names)], names=batch.schema.names)
+
+    return docs.mapInArrow(tidy(mark), docs.schema)
 
 
 def _one_block(bench: DataFrame, text_col: str, most: int) -> bool:
@@ -127,10 +198,10 @@ def _one_block(bench: DataFrame, text_col: str, most: int) -> bool:
 
 
 def _pass(spark: SparkSession, docs: DataFrame, items: list, ngram: int, text_col: str) -> DataFrame:
-    sent = spark.sparkContext.broadcast((items, ngram))
+    made = shared(spark, (items, ngram), lambda x: Grams(*x))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(*sent.value)
+        grams = made()
         for whole in batches:
             for batch in slices(whole, text_col):
                 counts, flags, names = [], [], []
@@ -147,7 +218,7 @@ def _pass(spark: SparkSession, docs: DataFrame, items: list, ngram: int, text_co
                 new = {"_words": pa.array(counts, pa.int64()), "_hits": pa.array(flags, pa.binary()), "_items": pa.array(names, pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([new.get(c, batch.column(i)) for i, c in enumerate(batch.schema.names)], names=batch.schema.names)
 
-    return docs.mapInArrow(match, docs.schema)
+    return docs.mapInArrow(tidy(match), docs.schema)
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, remove: str = "spans", text_col: str = "text", **options) -> DataFrame:

@@ -9,13 +9,19 @@ sequence is one shingle. Documents are linked if share * union <= 100 * intersec
    similarity reaches the threshold is below MISS. Survivors are verified on full sets.
 4. Verified links give components. Buckets that still hold several components are compared across them: small ones by a
    self-join, whose survivors are verified like the first; large ones in tasks that each hold two parts of about CHUNK_BYTES of sets,
-   verify survivors there, skip pairs that earlier links already join, and emit only links that join components.
+   verify survivors there, skip pairs that earlier links already join, and emit only links that join components. A part holds one large component or
+   several small ones, and two parts of one component never meet, so an outsider costs as many comparisons as the bucket has members.
+
+Keys that hold more than one row in HOT of a table (sets that many documents share, bands of many sets) are joined by broadcast: there
+are fewer than HOT of them, whatever the table's size. The others are shuffled.
 
 So no bucket is capped: any two nodes of one bucket are in one component, or were compared. The chance of losing a link is that of
 sharing no band (BANDS bands of ROWS: 1e-9 at 0.85, 4e-7 at 0.8) plus MISS.
 
 Defined edge cases: a document without words is linked with nothing and is its own component; null doc_ids have no component and are
-kept; rows that repeat a doc_id are one node of the graph each text of which may link; an empty table gives no rows.
+kept; rows that repeat a doc_id are one document with several texts, each of which may link, so all are in one component; of equal
+rows each gets its row of the result; ties need no order, since components do not depend on it; very long texts are one set, as large as their
+distinct shingles; other columns, whatever their names, are neither read nor changed; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,13 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Lexicon, ids_and_texts, plain, raw_texts, rolled, slices, table, written
+from .common import U64, Lexicon, ids_and_texts, plain, raw_texts, rolled, slices, table, tidy, written
 
 WIDTH, SHARE = 5, 80
 BANDS, ROWS = 28, 4
 HASHES, BATCH, MISS = BANDS * ROWS, 16, 1e-6
 #: Bytes of one bucket's sets that a task compares with as many others; buckets up to SMALL members are self-joined.
 CHUNK_BYTES, SMALL = 4 << 20, 16
+#: A key is hot if it holds more than one in HOT of a table's rows.
+HOT = 1000
 #: Ids that may be broadcast (16 MB); beyond it the join is shuffled.
 MOST_SENT = 1_000_000
 _random = np.random.default_rng(20240229)
@@ -67,6 +75,15 @@ def band_keys(sig: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(sig[k * ROWS : (k + 1) * ROWS].tobytes(), seed=k) - 2**63 for k in range(BANDS)]
 
 
+def joined(left: DataFrame, right: DataFrame, on: str, total: int, how: str = "inner") -> DataFrame:
+    """left join right, of one row for each `on` with n, the rows of left that have it (total in all): hot keys by broadcast. right: a written table."""
+    hot = right.where(F.col("n") > total // HOT).drop("n")
+    if not hot.head(1):
+        return left.join(right.drop("n"), on, how)
+    cold = left.join(F.broadcast(hot.select(on)), on, "left_anti").join(right.where(F.col("n") <= total // HOT).drop("n"), on, how)
+    return left.join(F.broadcast(hot), on).unionByName(cold)
+
+
 def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, fp (of the set), bands, sig (16 bits of each hash), for every row of docs (doc_id, text)."""
 
@@ -85,7 +102,7 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 n, fp, bands, sig = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "fp", "bands", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, fp binary, bands array<long>, sig binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n_shingles long, fp binary, bands array<long>, sig binary")
 
 
 def floors(share: int, miss: float = MISS, batch: int = BATCH, hashes: int = HASHES) -> list[tuple[int, int]]:
@@ -124,20 +141,23 @@ def pruned(pairs: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
                 a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(batch.num_rows, HASHES) for c in ("sa", "sb"))
                 yield batch.select(["a", "b"]).filter(pa.array(survivors(a, b, share)))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long")
+    return both.select("a", "b", "sa", "sb").mapInArrow(tidy(keep), "a long, b long")
 
 
 def sets_of(docs: DataFrame, needed: DataFrame, count: int, width: int) -> DataFrame:
     """doc_id, items (the sorted shingle hashes) of the documents named by needed (doc_id, distinct; about count rows)."""
 
     def to_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon()
+        lexicon, seen = Lexicon(), set()
         for whole in batches:
             for batch in slices(whole):
                 own = [shingles(t.lower().split() if t else [], lexicon, width).tobytes() for t in raw_texts(batch)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.binary())], names=["doc_id", "items"])
+                # rows that repeat an id and its set count once a task
+                new = [(k := (i, xxhash.xxh3_128_digest(x))) not in seen and not seen.add(k) for i, x in zip(batch.column("doc_id").to_pylist(), own, strict=True)]
+                out = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.binary())], names=["doc_id", "items"])
+                yield out.filter(pa.array(new, pa.bool_()))
 
-    return docs.join(F.broadcast(needed) if count <= MOST_SENT else needed, "doc_id", "left_semi").mapInArrow(to_set, "doc_id long, items binary")
+    return docs.join(F.broadcast(needed) if count <= MOST_SENT else needed, "doc_id", "left_semi").mapInArrow(tidy(to_set), "doc_id long, items binary")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, share: int, width: int) -> DataFrame:
@@ -156,7 +176,7 @@ def verified(docs: DataFrame, pairs: DataFrame, share: int, width: int) -> DataF
                 flags.append(100 * common >= share * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(flags, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(linked, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(tidy(linked), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -193,25 +213,35 @@ def across_large(docs: DataFrame, mixed: DataFrame, nodes: DataFrame, share: int
     """Links (a, b) that join components within large buckets, verified where they are found."""
     large = mixed.where(F.col("m") > SMALL)
     needed = written(large.select(F.col("node").alias("doc_id")).distinct(), "needed")
-    sets = sets_of(docs, needed, needed.count(), width).groupBy("doc_id").agg(F.first("items").alias("items"))
-    rows = large.join(nodes.select("node", "sig"), "node").join(sets.withColumnRenamed("doc_id", "node"), "node")
-    n = F.ceil(F.col("bytes") / CHUNK_BYTES).cast("int")
-    dealt = rows.withColumn("own", F.pmod(F.xxhash64("node"), n).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "sig", "items")
+    sets = sets_of(docs, needed, needed.count(), width)
+    # parts: several for a large component, which they do not share; small components are dealt to parts by hash
+    sizes = large.groupBy("key", "component").agg(F.sum(F.col("n") * 8 + 300).alias("size"))
+    big = F.col("size") > CHUNK_BYTES // 2
+    small = sizes.groupBy("key").agg(F.ceil(F.sum(F.when(~big, F.col("size")).otherwise(0)) / CHUNK_BYTES).cast("int").alias("small"))
+    sizes = sizes.join(small, "key").select("key", "component", F.when(big, F.ceil(F.col("size") / CHUNK_BYTES).cast("int")).alias("cuts"), "small")
+    part = F.when(F.col("cuts").isNotNull(), F.struct(F.col("component").alias("of"), F.pmod(F.xxhash64("node"), "cuts").cast("int").alias("cut"))).otherwise(F.struct(F.lit(-1).cast("long").alias("of"), F.pmod(F.xxhash64("component"), "small").cast("int").alias("cut")))
+    placed = written(large.join(sizes, ["key", "component"]).select("key", "node", "component", F.when(F.col("cuts").isNotNull(), F.lit(True)).otherwise(F.lit(False)).alias("one"), part.alias("part")), "parts")
+    parts = placed.select("key", "one", "part").distinct()
+    a, b = (parts.select("key", F.col("one").alias(f"one_{x}"), F.col("part").alias(x)) for x in ("x", "y"))
+    pairs = a.join(b, "key").where("x <= y AND NOT (one_x AND one_y AND x.of = y.of)").select("key", "x", "y")
+    members = pairs.withColumn("side", F.explode(F.array_distinct(F.array("x", "y"))))
+    dealt = placed.select("key", "node", "component", F.col("part").alias("side")).join(members, ["key", "side"])
+    dealt = dealt.join(nodes.select("node", "sig"), "node").join(sets.withColumnRenamed("doc_id", "node"), "node")
+    dealt = dealt.select("key", "x", "y", (F.col("x") == F.col("y")).alias("same"), (F.col("side") == F.col("x")).alias("left"), "node", "component", "sig", "items")
 
     def compare(group: pa.Table) -> pa.Table:
-        own, x, y = group.column("own").to_numpy(), group.column("x")[0].as_py(), group.column("y")[0].as_py()
+        left, same = group.column("left").to_numpy(zero_copy_only=False), group.column("same")[0].as_py()
         node, part = group.column("node").to_numpy(), group.column("component").to_numpy().copy()
         sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u2").reshape(len(node), HASHES)
         raw = [np.frombuffer(b, U64) for b in group.column("items").to_pylist()]
         sizes = np.array([len(r) for r in raw])
         items = np.split(np.unique(np.concatenate(raw), return_inverse=True)[1], np.cumsum(sizes)[:-1])
         present = np.zeros(1 + max(int(i.max(initial=0)) for i in items), bool)
-        right = np.flatnonzero(own == y)
+        right = np.arange(len(node)) if same else np.flatnonzero(~left)
         found = []
-        for i in np.flatnonzero(own == x):
+        for i in np.flatnonzero(left):
             others = right[part[right] != part[i]]
-            if x == y:
+            if same:
                 others = others[others > i]
             others = others[survivors(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], share)]
             if not len(others):
@@ -233,14 +263,19 @@ def classes(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> DataFram
     """doc_id, n_shingles, component_id for every row of docs (doc_id long, text string)."""
     sets = written(sketches(docs, width), "sketches")
     named = sets.where("fp IS NOT NULL AND doc_id IS NOT NULL")
-    nodes = written(named.groupBy("fp").agg(F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("s")).select("fp", F.col("s.doc_id").alias("node"), F.col("s.n_shingles").alias("n"), "s.sig", "s.bands"), "nodes")
+    least = F.min(F.struct("doc_id", "n_shingles", "sig", "bands")).alias("s")
+    nodes = written(named.groupBy("fp").agg(least, F.count("*").alias("copies")).select("fp", F.col("s.doc_id").alias("node"), F.col("s.n_shingles").alias("n"), "s.sig", "s.bands", "copies"), "nodes")
+    # documents of several texts stand for all of them
+    several = named.groupBy("doc_id").agg(F.min("fp").alias("one"), F.max("fp").alias("other")).where("one != other").select("doc_id")
+    own_sets = named.select("doc_id", "fp").distinct().join(several, "doc_id").join(nodes.select("fp", "node"), "fp")
+    same_id = written(own_sets.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).where("a != b").distinct(), "same-id")
     banded = nodes.select("node", "n", F.explode("bands").alias("key"))
-    ends = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = written(banded.join(ends, "key"), "members")
+    ends = written(banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("held")).where("lo < hi").withColumnRenamed("held", "n"), "ends")
+    members = written(joined(banded.withColumnRenamed("n", "size"), ends, "key", BANDS * nodes.count()).withColumnRenamed("size", "n"), "members")
     ends = F.explode(F.array("lo", "hi")).alias("end")
     star = members.select("node", ends).where("node != end").select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
     tested = written(pruned(star, nodes, share), "star")
-    links = written(verified(docs, tested, share, width), "links")
+    links = written(verified(docs, tested, share, width).unionByName(same_id), "links")
     parts = components(links)
     placed = members.select("key", "node", "n").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     stats = placed.groupBy("key").agg(F.count("*").alias("m"), F.sum(F.col("n") * 8 + 300).alias("bytes"), F.min("component").alias("c1"), F.max("component").alias("c2"))
@@ -249,9 +284,19 @@ def classes(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> DataFram
     more = written(verified(docs, rest, share, width).union(across_large(docs, mixed, nodes, share, width)), "links")
     if more.head(1):
         parts = components(links.union(more))
-    by_set = nodes.select("fp", "node").join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    # rows that repeat an id are one node: the least component of any of them
-    return sets.select("doc_id", "n_shingles", "fp").join(by_set, "fp", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    by_set = written(nodes.select("fp", "node", F.col("copies").alias("n")).join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component"), "n"), "components")
+    ids = sets.select("doc_id", "n_shingles", "fp")
+    with_id = joined(ids.where("fp IS NOT NULL AND doc_id IS NOT NULL"), by_set, "fp", named.count()).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    # rows without an id, and texts without words: these go with the other texts of their document, if it has any
+    bare, no_id = ids.where("fp IS NULL AND doc_id IS NOT NULL").select("doc_id", "n_shingles"), ids.where("doc_id IS NULL")
+    besides = written(bare.select("doc_id").distinct().join(named.select("doc_id"), "doc_id", "left_semi"), "besides")
+    if besides.head(1):
+        theirs = with_id.join(besides, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+        bare = bare.join(theirs, "doc_id", "left")
+    else:
+        bare = bare.withColumn("component_id", F.lit(None).cast("long"))
+    rest = bare.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return with_id.unionByName(rest).unionByName(no_id.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

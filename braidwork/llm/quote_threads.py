@@ -1,19 +1,24 @@
 """Chat formatting by quotation linking.
 
 Lines that begin with `>` are quotes; as many `>` as there are give their level, and lines of one level in a row are one passage. An attribution line
-("... wrote:") right before a quote belongs to it. Passages are normalised (letters and digits, lower-cased, single spaces) and hashed whole,
-by paragraph and by line, if they have at least LEAST_WORDS words; so are the messages' own words. A message replies to the earliest
-message of its conversation, before it, that wrote a passage it quotes: the outermost quote level with such a message decides, then the
-latest of these messages.
+("... wrote:") right before a quote belongs to it. Passages are normalised (letters and digits, lower-cased, single spaces) and hashed whole, by
+paragraph and by line; by sentence where it has LEAST_WORDS words; and by runs of RUN_WORDS words, of which every WINNOW in a row give the one of
+least hash, so a passage of RUN_WORDS + WINNOW - 1 words of a message shares a run with it wherever it begins and however it is wrapped. The messages'
+own words are hashed alike. A message replies to the earliest message of its conversation, before it, that wrote a passage it quotes: the
+outermost quote level with such a message decides, then the latest of these messages.
 
-The hash index keeps one row for each conversation and hash (partial sums before the shuffle), so a line that everyone repeats is one
-row; long conversations are never gathered. Roots are found by pointer doubling over reply links alone.
+The hash index keeps one row for each conversation and hash (partial minima before the shuffle), so a line that everyone repeats is one
+row; a hash that more than one in HOT of all quotes hold is joined by broadcast (there are fewer than HOT). Roots are found by pointer doubling over
+reply links alone.
 
-Result: one row for each message, with its own text without quotes; ordered by conv_id, root_turn, turn, every reply follows what it
-replies to.
+Result: one row for each message, with its own text without quotes, and its position in its conversation in reply order: by thread (root_turn), then
+turn, so every reply follows what it replies to. Positions come from a range-dealt sort, which cuts a long conversation, and from the
+counts of the pieces; no conversation is gathered.
 
 Defined edge cases: null and empty texts are messages without words; messages with a null conv_id or turn link to nothing; rows that repeat a turn
-are judged each for itself and share that turn's thread, that of the smallest parent; an empty table gives no rows; other columns are not read.
+are judged each for itself and share that turn's thread, that of the smallest parent; their positions follow the order in which they are
+stored, and rows without conversation are one conversation in this; an empty table gives no rows; other columns, whatever their names, are not
+read; a very long text is parsed whole.
 """
 
 from __future__ import annotations
@@ -21,18 +26,22 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import partitions, table, written
 
-LEAST_WORDS = 3
+LEAST_WORDS, RUN_WORDS, WINNOW = 3, 8, 4
+#: A hash is hot if more than one in HOT of the quotes hold it.
+HOT = 1000
 QUOTED = re.compile(r"[ \t]*((?:>[ \t]?)+)[ \t]*(.*)", re.S)
 WROTE = re.compile(r"\b(wrote|writes|said|schrieb|a écrit|escribió):\s*$", re.I)
 NOISE = re.compile(r"[\W_]+")
+SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
@@ -58,10 +67,25 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
     return "\n".join(own).strip(), [(d, "\n".join(ls)) for d, ls in passages]
 
 
+def normal(text: str) -> str:
+    return NOISE.sub(" ", text.lower()).strip()
+
+
+def passages_of(text: str) -> set[str]:
+    """What is hashed: the whole text, its paragraphs, lines, sentences and chosen runs of words, normalised."""
+    paragraphs = re.split(r"\n\s*\n", text)
+    out = {normal(p) for p in (text, *paragraphs, *text.split("\n"))}
+    out |= {n for p in paragraphs for x in SENTENCE.split(p) if len((n := normal(x)).split()) >= LEAST_WORDS}
+    words = normal(text).split()
+    runs = [" ".join(words[i : i + RUN_WORDS]) for i in range(len(words) - RUN_WORDS + 1)]
+    keys = [xxhash.xxh3_64_intdigest(r.encode()) for r in runs]
+    out |= {runs[min(range(i, i + WINNOW), key=keys.__getitem__)] for i in range(len(runs) - WINNOW + 1)}
+    out.discard("")
+    return out
+
+
 def hashes(text: str) -> list[int]:
-    """Of the whole text, its paragraphs and its lines, normalised."""
-    parts = {NOISE.sub(" ", p.lower()).strip() for p in (text, *re.split(r"\n\s*\n", text), *text.split("\n"))}
-    return sorted(xxhash.xxh3_64_intdigest(p.encode()) - 2**63 for p in parts if len(p.split()) >= LEAST_WORDS)
+    return sorted(xxhash.xxh3_64_intdigest(p.encode()) - 2**63 for p in passages_of(text))
 
 
 def parsed(messages: DataFrame) -> DataFrame:
@@ -103,15 +127,51 @@ def threaded(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, text (own words), parent_turn, root_turn, reply_depth, n_quotes, n_found for each row of messages."""
     rows = written(parsed(messages), "messages")
     wrote = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", F.explode("written").alias("hash"), "turn").groupBy("conv_id", "hash").agg(F.min("turn").alias("origin"))
-    quotes = rows.select("rid", "conv_id", "turn", F.explode("quotes").alias("q")).select("rid", "conv_id", "turn", "q.*")
-    found = quotes.join(wrote, ["conv_id", "hash"]).where("origin < turn")
+    quotes = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("rid", "conv_id", "turn", F.explode("quotes").alias("q")).select("rid", "conv_id", "turn", "q.*")
+    keys = ["conv_id", "hash"]
+    often = written(quotes.groupBy(*keys).agg(F.count("*").alias("n")), "quoted")
+    most = (often.agg(F.sum("n")).first()[0] or 0) // HOT
+    hot = often.where(F.col("n") > most).select(*keys) if most else often.limit(0).select(*keys)
+    cold = quotes.join(F.broadcast(hot), keys, "left_anti").join(wrote, keys)
+    found = cold.unionByName(quotes.join(F.broadcast(wrote.join(F.broadcast(hot), keys)), keys)).where("origin < turn")
     best = found.groupBy("rid").agg(F.min(F.struct("level", (-F.col("origin")).alias("o"))).alias("best"), F.count_distinct("hash").alias("n_found"))
     out = rows.join(best.select("rid", (-F.col("best.o")).alias("parent_turn"), "n_found"), "rid", "left")
     links = out.where("parent_turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.min("parent_turn").alias("parent"))
     threads = roots(links)
-    return out.join(threads, ["conv_id", "turn"], "left").select(
-        "conv_id", "turn", "role", F.col("own").alias("text"), "parent_turn", F.coalesce("root", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0)).cast("long").alias("reply_depth"), F.size(F.array_distinct(F.transform("quotes", lambda q: q["hash"]))).cast("long").alias("n_quotes"), F.coalesce("n_found", F.lit(0)).cast("long").alias("n_found")
-    )
+    n_quotes = F.size(F.array_distinct(F.transform("quotes", lambda q: q["hash"]))).cast("long")
+    done = out.join(threads, ["conv_id", "turn"], "left").select(
+        "rid", "conv_id", "turn", "role", F.col("own").alias("text"), "parent_turn", F.coalesce("root", "turn").alias("root_turn"),
+        F.coalesce("depth", F.lit(0)).cast("long").alias("reply_depth"), n_quotes.alias("n_quotes"), F.coalesce("n_found", F.lit(0)).cast("long").alias("n_found"),
+    )
+    return positioned(done)
+
+
+def positioned(messages: DataFrame) -> DataFrame:
+    """The rows with position, from 0 in each conversation in order of root_turn, turn, rid; without rid."""
+    order = ["conv_id", "root_turn", "turn", "rid"]
+    ranged = messages.repartitionByRange(partitions(messages.sparkSession), *order).sortWithinPartitions(*order)
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.schema) + ", piece int, at long"
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, open_at, n = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            conv = [(x,) for x in batch.column("conv_id").to_pylist()]
+            at = np.zeros(len(conv), np.int64)
+            for i, c in enumerate(conv):
+                n = n + 1 if c == open_at else 0
+                open_at, at[i] = c, n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([piece] * len(conv), pa.int32()), pa.array(at)], names=[*batch.schema.names, "piece", "at"])
+
+    rows = written(ranged.mapInArrow(number, kind), "positions")
+    counts = rows.groupBy("conv_id", "piece").agg(F.count("*").alias("n"))
+    # conversations in several pieces: fewer than there are pieces
+    cut = written(counts.groupBy("conv_id").agg(F.collect_list(F.struct("piece", "n")).alias("pieces")).where(F.size("pieces") > 1), "cut")
+    before = F.aggregate("pieces", F.lit(0).cast("long"), lambda a, p: a + F.when(p["piece"] < F.col("piece"), p["n"]).otherwise(0))
+    same = rows["conv_id"].eqNullSafe(F.col("c_id"))
+    joined = rows.join(F.broadcast(cut.select(F.col("conv_id").alias("c_id"), "pieces")), same, "left")
+    return joined.withColumn("position", F.col("at") + F.coalesce(before, F.lit(0))).drop("rid", "piece", "at", "c_id", "pieces")
 
 
 def op5_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:

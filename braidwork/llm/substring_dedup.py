@@ -10,14 +10,16 @@ positions. So two equal windows share an anchor, a run of WINDOW - PERIOD + 1 wo
 1. Documents are packed, in scan order, into blocks of about BLOCK_BYTES: one compressed Arrow row each, written to the shared folder.
 2. Each block sends its distinct anchor hashes, dealt by hash; hashes met in two blocks go back to both. A hash costs one
    entry a block, however many documents hold it, so no key is hot.
-3. Around anchors that occur twice, a block extends to the windows that contain them and sends each kind's first as 128 bits, dealt by
-   hash; every block learns which of its firsts have an earlier one elsewhere.
+3. Around anchors that occur twice, a block extends to the windows that contain them and sends each kind's first as 128 bits, two rolling hashes of
+   their own multipliers over two 64-bit hashes of each word, dealt by hash; every block learns which of its firsts have an earlier one elsewhere.
+   Windows are equal if these bits are; words are not compared again.
 4. Each block marks the words of all later windows and emits its documents.
 
 Nothing is sampled or capped; a task holds one block, or what is dealt to one hash bucket (BUCKET_BYTES of anchors on average).
 
 Defined edge cases: null and empty texts have no words; null doc_ids come after all others; rows that repeat a doc_id follow each other in storage
-order; an empty table gives no rows.
+order, so of equal windows the first in this order stays; a very long text is a block of its own, as large as its words; other columns, whatever
+their names, are carried along unchanged (kept()); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,13 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Lexicon, ids_and_texts, partitions, plain, raw_texts, rolled, table, written
+from .common import ROLL, ROLL_TOO, U64, Lexicon, ids_and_texts, partitions, plain, raw_texts, rolled, table, tidy, written
 
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 32 << 20
 LAST = 2**63 - 1
 #: A window's first in a block: two hashes, document, place in the block.
-FIRST = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("doc", "<i8"), ("at", "<u4")])
+FIRST = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("at", "<u4")])
 
 
 def packed(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -68,7 +70,7 @@ def packed(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "block long, size long, payload binary")
+    return docs.mapInArrow(tidy(run), "block long, size long, payload binary")
 
 
 class Block:
@@ -112,13 +114,13 @@ class Block:
     def firsts(self, elsewhere: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each kind of candidate window once (FIRST, the earliest), and the places of the later ones."""
         place = self.candidates(elsewhere)
-        h1, h2 = (rolled(self.hashes[:, k], self.window)[place] for k in (0, 1))
+        h1, h2 = (rolled(self.hashes[:, k], self.window, roll)[place] for k, roll in ((0, ROLL), (1, ROLL_TOO)))
         order = np.lexsort((place, h2, h1))
         h1, h2, place = h1[order], h2[order], place[order]
         new = np.ones(len(place), bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         out = np.zeros(int(new.sum()), FIRST)
-        out["h1"], out["h2"], out["at"] = h1[new], h2[new].astype(np.uint32), place[new]
+        out["h1"], out["h2"], out["at"] = h1[new], h2[new], place[new]
         out["doc"] = ids[np.searchsorted(self.ends, place[new], side="right")]
         return out[np.argsort(out["at"])], place[~new].astype(np.uint32)
 
@@ -149,7 +151,7 @@ def _firsts(data: bytes) -> np.ndarray:
     raw = zstandard.decompress(data)
     n, k = np.frombuffer(raw, "<u4", 2)
     at, out = 8, np.zeros(n, FIRST)
-    for field, size in (("h1", 8), ("h2", 4)):
+    for field, size in (("h1", 8), ("h2", 8)):
         out[field] = np.frombuffer(raw, out.dtype[field], n, at)
         at += size * int(n)
     out["at"] = np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * int(n), at).reshape(4, -1).T).view("<u4").ravel(), dtype=np.uint32)
@@ -256,12 +258,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = [c for c in docs.columns if not (digest and c == text_col)]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
     plain = "bucket long, block long, data binary"
-    anchors = blocks.select("block", "payload").mapInArrow(send_anchors, plain)
+    anchors = blocks.select("block", "payload").mapInArrow(tidy(send_anchors), plain)
     shared = anchors.groupBy("bucket").applyInArrow(_met_twice, "block long, data binary")
-    firsts = blocks.join(gathered(shared), "block", "left").select("block", "payload", "data").mapInArrow(send_firsts, plain)
+    firsts = blocks.join(gathered(shared), "block", "left").select("block", "payload", "data").mapInArrow(tidy(send_firsts), plain)
     later = firsts.groupBy("bucket").applyInArrow(_preceded, "block long, data binary")
     schema = f"{fields}, {'_kept string, ' if digest else ''}_words long, _removed long"
-    return blocks.join(gathered(later), "block", "left").select("block", "payload", "data").mapInArrow(emit, schema)
+    return blocks.join(gathered(later), "block", "left").select("block", "payload", "data").mapInArrow(tidy(emit), schema)
 
 
 def kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:

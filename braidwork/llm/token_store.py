@@ -3,18 +3,20 @@
 Ids of whole documents, each ended by one id, are packed in ascending doc_id order into chunks of at least CHUNK_IDS
 ids (a chunk ends where a document ends). Within a chunk ids are cut into blocks of BLOCK_IDS; a block is transposed into
 byte planes, or, on demand, bit planes; each plane is compressed with zstandard. The store is a folder of two tables that any store
-Spark can write to will hold: `chunks` (shard, chunk, n_ids, plane kind, document ids and lengths, blocks of planes) and `index`
-(shard, ids before it, ids, documents), the latter as small as the number of shards.
+Spark can write to will hold: `chunks` (shard, chunk, ids before it in its shard, n_ids, plane kind, document ids and lengths, blocks of planes) and `index`
+(shard, ids before it, ids, documents), the latter as small as the number of shards. Readers join the index alone; planes never move.
 
-Defined edge cases: null and empty texts are the end id alone; null doc_ids come first; rows with one doc_id follow each other in
-no set order; an empty table gives an empty store.
+Shards are ranges of (doc_id, hash of the text, place in the input) of about SHARD_BYTES of text, so that no id, repeated or null, fills a shard.
+
+Defined edge cases: null and empty texts are the end id alone; null doc_ids come first; rows with one doc_id follow each other by hash of the text, then as
+they lie in the input; an empty table gives an empty store; a very long text is one document of one chunk, as large as its ids; columns other than
+the two are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -26,16 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, partitions, scratch, shared, slices, table
+from .common import ids_and_texts, partitions, scratch, shared, slices, table, tidy
 
 CHUNK_IDS, BLOCK_IDS, LEVEL = 1 << 17, 1 << 14, 3
+#: Text of a shard, and rows of the index that are broadcast (12 bytes each).
+SHARD_BYTES, MOST_SHARDS = 16 << 20, 1_000_000
 END = 1
-CHUNKS = "shard int, chunk int, n_ids long, kind string, doc_ids array<long>, lengths array<long>, blocks array<struct<n:int,planes:array<binary>>>"
+CHUNKS = "shard int, chunk int, before long, n_ids long, kind string, doc_ids array<long>, lengths array<long>, blocks array<struct<n:int,planes:array<binary>>>"
 
 
-#: Bytes to the printable characters that byte-level vocabularies spell them with.
-SPELT = {b: chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255 else None for b in range(256)}
-SPELT |= {b: chr(256 + i) for i, b in enumerate(b for b, c in SPELT.items() if c is None)}
 #: Letters of scripts below U+0250 (not the signs U+00D7 and U+00F7), then ASCII signs other than the apostrophe: two pre-tokens at most, whose bounds are certain.
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: The parts of a tokenizer file that make PLAIN certain.
@@ -44,12 +45,13 @@ CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordEncoder:
-    """Ids of texts. The tokenizer drops white space and cuts there, so stretches between white space are encoded alone, and
-    in each slice of texts every kind once; stretches met in several slices are remembered, up to MOST of them.
+    """Ids of texts.
 
-    Where the file's steps are those of STEPS, plain stretches go straight to its BPE model, which spares most of the time."""
+    Where the file's steps are those of STEPS, the tokenizer drops white space and cuts there, so stretches between white space are encoded alone, and
+    in each slice of texts every kind once. Plain stretches, whose cuts are certain, are encoded many at a time, parted at the ids that end a
+    word. Stretches met in several slices are remembered, up to MOST_BYTES of them. With any other file whole texts are encoded."""
 
-    MOST, YOUNG = 1 << 17, 1 << 18
+    MOST_BYTES, YOUNG_BYTES, JOINED = 12 << 20, 24 << 20, 2048
 
     def __init__(self, json_text: str):
         from tokenizers import Tokenizer
@@ -59,57 +61,76 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.young: dict[str, bytes] = {}
+        self.known_bytes = self.young_bytes = 0
         made = json.loads(json_text)
         kinds = tuple([x["type"] for x in (made.get(k) or {}).get(part, [])] for k, part in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
         self.plain = kinds == STEPS and made["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": CUTS} and made["model"]["type"] == "BPE"
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        if mark := made["model"].get("end_of_word_suffix"):
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(mark)]] = True
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts that are one pre-token each."""
+        out = {}
+        for i in range(0, len(parts), self.JOINED):
+            own = parts[i : i + self.JOINED]
+            ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(own) or not len(cuts) or cuts[-1] != len(ids):
+                out.update(zip(own, self._whole(own), strict=True))
+                continue
+            data, at = ids.tobytes(), (cuts * 4).tolist()
+            out.update(zip(own, [data[a:b] for a, b in zip([0, *at], at, strict=False)], strict=True))
+        return out
+
     def _learned(self, words: list[str]) -> dict[str, bytes]:
-        out, odd, parts = {}, [], {"": b""}
-        tokenize = self.tokenizer.model.tokenize
+        odd, split, parts = [], [], set()
+        certain = self.plain and self.ends.any()
         for w in words:
-            m = PLAIN.fullmatch(w) if self.plain else None
-            if m is None:
+            m = PLAIN.fullmatch(w) if certain else None
+            if m is None or not (w.isascii() or unicodedata.normalize("NFC", m[1]).lower().isalpha()):
                 odd.append(w)
-                continue
-            for part in m.groups():
-                if part not in parts:
-                    if part.isascii():
-                        spelt = part.lower()
-                    else:
-                        low = "".join(c.lower() for c in unicodedata.normalize("NFC", part))
-                        if not low.isalpha():
-                            break
-                        spelt = low.encode().decode("latin-1").translate(SPELT)
-                    parts[part] = struct.pack(f"<{len(found := tokenize(spelt))}I", *[t.id for t in found])
             else:
-                out[w] = parts[m[1]] + parts[m[2]]
-                continue
-            odd.append(w)
+                split.append(m)
+                parts.update(m.groups())
+        parts.discard("")
+        ids = self._parts(list(parts))
+        ids[""] = b""
+        out = {m[0]: ids[m[1]] + ids[m[2]] for m in split}
         for i in range(0, len(odd), 4096):
             out.update(zip(odd[i : i + 4096], self._whole(odd[i : i + 4096]), strict=True))
         return out
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if not self.plain:
+            return self._whole([t or "" for t in texts])
         parted = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
         known, young = self.known, self.young
         new = set().union(*parted).difference(known)
         again = {w: young[w] for w in new if w in young}
         new = self._learned([w for w in new if w not in again])
-        if len(known) + len(again) <= self.MOST:
+        if self.known_bytes <= self.MOST_BYTES:
             known.update(again)
+            self.known_bytes += _bytes(again)
         else:
             new |= again
-        if len(young) > self.YOUNG:
+        if self.young_bytes > self.YOUNG_BYTES:
             young.clear()
+            self.young_bytes = 0
         young.update(new)
+        self.young_bytes += _bytes(new)
         get, new[""] = known.get, b""  # an empty answer is looked up again
         return [b"".join([get(w) or new[w] for w in words]) for words in parted]
 
 
+def _bytes(held: dict[str, bytes]) -> int:
+    return sum(map(len, held)) + sum(map(len, held.values())) + 64 * len(held)
+
+
 def planes(ids: np.ndarray, kind: str, level: int = LEVEL) -> list[bytes]:
     """A block's compressed planes: 4 of bytes or 32 of bits, lowest first."""
     press = zstandard.ZstdCompressor(level=level)
@@ -129,20 +150,21 @@ def unplanes(n: int, parts: list[bytes], kind: str) -> np.ndarray:
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_json: str, end: int = END, kind: str = "byte", block_ids: int = BLOCK_IDS, chunk_ids: int = CHUNK_IDS) -> None:
-    """Encode docs (doc_id, text) and write the store at `path`. Equal-count ranges of doc_id are the shards."""
+    """Encode docs (doc_id, text) and write the store at `path`. Ranges of doc_id are the shards."""
     spark = docs.sparkSession
+    shards = max(partitions(spark), -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES))
     coders = shared(spark, tokenizer_json, WordEncoder)
     tail = np.array([end], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, shard, chunk = coders(), TaskContext.get().partitionId(), 0
+        coder, shard, chunk, before = coders(), TaskContext.get().partitionId(), 0, 0
         keys, lengths, parts, total = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), "<u4")
             cut = [{"n": len(b), "planes": planes(b, kind)} for b in (ids[i : i + block_ids] for i in range(0, len(ids), block_ids))]
-            row = {"shard": [shard], "chunk": [chunk], "n_ids": [len(ids)], "kind": [kind], "doc_ids": [keys], "lengths": [lengths], "blocks": [cut]}
-            return pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int64()), ("kind", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.list_(pa.struct([("n", pa.int32()), ("planes", pa.list_(pa.binary()))])))]))
+            row = {"shard": [shard], "chunk": [chunk], "before": [before], "n_ids": [len(ids)], "kind": [kind], "doc_ids": [keys], "lengths": [lengths], "blocks": [cut]}
+            return pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("kind", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("blocks", pa.list_(pa.struct([("n", pa.int32()), ("planes", pa.list_(pa.binary()))])))]))
 
         for whole in batches:
             for batch in slices(whole):
@@ -154,12 +176,14 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end: int = END,
                     total += len(ids) // 4
                     if total >= chunk_ids:
                         yield flush()
-                        keys, lengths, parts, total, chunk = [], [], [], 0, chunk + 1
+                        keys, lengths, parts, total, chunk, before = [], [], [], 0, chunk + 1, before + total
         if keys:
             yield flush()
 
-    ranged = docs.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    ranged.mapInArrow(encode, CHUNKS).write.option("compression", "none").parquet(f"{path}/chunks")
+    order = F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_at")
+    placed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_at"))
+    ranged = placed.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    ranged.mapInArrow(tidy(encode), CHUNKS).write.option("compression", "none").parquet(f"{path}/chunks")
     sizes = read_chunks(spark, path).groupBy("shard").agg(F.sum("n_ids").alias("n_ids"), F.sum(F.size("doc_ids")).alias("n_docs")).orderBy("shard").collect()
     before, rows = 0, []
     for r in sizes:
@@ -182,16 +206,14 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(r["lengths"])
                 starts = ends - r["lengths"]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(r["start"] + starts, pa.int64()), pa.array(r["lengths"], pa.int64()), pa.array([ids[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)], pa.binary())],
+                    [pa.array(r["doc_ids"], pa.int64()), pa.array(r["start"] + r["before"] + starts, pa.int64()), pa.array(r["lengths"], pa.int64()), pa.array([ids[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)], pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
     chunks = read_chunks(spark, path)
-    # ids before each chunk: the shard's start from the index, then the chunks before it in the shard (sizes only)
-    index = spark.read.schema("shard int, start long, n_ids long, n_docs long").parquet(f"{path}/index")
-    sizes = chunks.select("shard", "chunk", "n_ids").join(index.select("shard", "start"), "shard")
-    starts = sizes.selectExpr("shard", "chunk", "start + sum(n_ids) OVER (PARTITION BY shard ORDER BY chunk) - n_ids AS start")
-    placed = chunks.join(starts, ["shard", "chunk"])
+    # ids before each chunk: those before its shard, from the index (a row a shard), and those before it in the shard
+    index = spark.read.schema("shard int, start long, n_ids long, n_docs long").parquet(f"{path}/index").select("shard", "start")
+    placed = chunks.join(F.broadcast(index) if index.count() <= MOST_SHARDS else index, "shard")
     return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -70,7 +70,7 @@ def test_attention_gradients():
     net = attention_lm.Network(classes, begin, rows)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     ids, targets, some = windows[:4, :-1], windows[:4, 1:], np.ones((4, attention_lm.WINDOW), bool)
-    loss = lambda: -net.chances(ids, targets, 0)[0].mean()
+    loss = lambda: -net.ready().chances(ids, targets, 0)[0].mean()
     slopes = net.slopes(ids, targets, some)
     for k, at in (("q", (1, 2)), ("k", (3, 0)), ("v", (2, 2)), ("o", (0, 1)), ("w1", (4, 5)), ("w2", (3, 1)), ("out", (2, 3)), ("e", (int(rows[ids[0, 0]]), 1)), ("pos", (5, 2)), ("bias", (1,)), ("b1", (2,))):
         old, step = net.p[k][at], 1e-5
@@ -113,10 +113,11 @@ def test_lm_is_a_distribution(spark, sf):
         ranks = f.read()
     docs = ids_and_texts(table(spark, sf, "documents")).where("doc_id % 10 = 0")
     counts = attention_lm.word_counts(docs)
-    scorer = attention_lm.fitted(docs, counts, docs.count(), ranks, P.PATTERN)
+    scorer = attention_lm.fitted(docs, counts, ranks, P.PATTERN)
+    scorer.network.ready()
     speller = attention_lm.Speller(ranks, P.PATTERN)
     kinds = [r.word.encode() for r in counts.collect() if r.word != attention_lm.END_WORD][:3000]
-    found = scorer.words([[speller[w]] for w in kinds] + [[]], speller.end)
+    found = scorer.words([[x] for x in speller.spelt(kinds)] + [[]], speller.end)
     assert sum(np.exp(att[0]) for att, _ in found) <= 1.001
 
 
@@ -132,21 +133,98 @@ def test_lm_edges(spark):
     assert attention_lm.scored(docs.limit(0), F.lit(True), ranks, P.PATTERN).count() == 0
 
 
-def test_lm_learns_from_all_documents(spark, monkeypatch):
-    """However small the sample that starts the network, every training document makes classes and moves weights and shares."""
+def test_lm_learns_from_a_share_of_every_part(spark):
+    """Documents anywhere make classes and move weights; what is learned from grows with them."""
     with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = f.read()
-    monkeypatch.setattr(attention_lm, "DOCS", 1)
-    monkeypatch.setattr(attention_lm, "TRAIN_WINDOWS", 1)
     kinds = ["river", "castle", "window", "music", "garden", "bridge", "winter", "market"]
     docs = spark.createDataFrame([(i, f"{w} " * 200) for i, w in enumerate(kinds)], DOCS)
-    counts = attention_lm.word_counts(docs)
-    network = attention_lm.fitted(docs, counts, len(kinds), ranks, P.PATTERN).network
+    network = attention_lm.fitted(docs, attention_lm.word_counts(docs), ranks, P.PATTERN).network
     first = attention_lm.Network(network.classes, network.begin, network.rows)
-    ids = [int(np.frombuffer(attention_lm.Speller(ranks, P.PATTERN)[w.encode()], "<u4")[0]) for w in kinds]
+    ids = [int(np.frombuffer(x, "<u4")[0]) for x in attention_lm.Speller(ranks, P.PATTERN).spelt([w.encode() for w in kinds])]
     assert len({network.classes[i] for i in ids}) == len(kinds)
     assert all((network.p["e"][network.rows[i]] != first.p["e"][network.rows[i]]).any() for i in ids)
-    assert attention_lm.learned(docs, first, ranks, P.PATTERN) == sum(201 for _ in kinds)
+    once = attention_lm.learned(docs, first, ranks, P.PATTERN)
+    long = spark.createDataFrame([(i, f"{w} " * 200 * 24) for i, w in enumerate(kinds)], DOCS)
+    more = attention_lm.learned(long, first, ranks, P.PATTERN)
+    assert once > 0 and math.isclose(more, len(kinds) * 201 * 24 / attention_lm.SHARE, rel_tol=0.05)
+
+
+def test_runs_cover_each_text_once(monkeypatch):
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        speller = attention_lm.Speller(f.read(), P.PATTERN)
+    monkeypatch.setattr(attention_lm, "SHARE", 1)
+    for n in (0, 1, 23, 24, 25, 48, 100):
+        text = " ".join(f"word{i}" for i in range(n)).encode()
+        runs = attention_lm.runs_of([5], [text], speller)
+        whole = attention_lm.ids_of([text], speller)[0]
+        assert np.concatenate([runs[0][:1], *[r[1:] for r in runs]]).tolist() == whole.tolist()
+        assert all(r[0] == q[-1] for q, r in zip(runs, runs[1:], strict=False))
+
+
+def test_speller_gives_the_ids_of_each_word():
+    import tiktoken
+
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        speller = attention_lm.Speller(f.read(), P.PATTERN, most=3000)
+    words = ["a", "don't", "it's,", "\u00a0x", "x\u00a0", "\u3000", "\u00a0\u2003", "été", "\U0001f600!!", "--", "x" * 500, "1,234.5", "'s", "\x85", "\x1c"] + [f"w{i}z" for i in range(300)]
+    for _ in range(2):
+        for part in (words, words[::-1], words[::3]):
+            got = speller.spelt([w.encode() for w in part])
+            assert [np.frombuffer(x, "<u4").tolist() for x in got] == [speller.coder.encode_ordinary(" " + w) for w in part]
+    assert isinstance(speller.coder, tiktoken.Encoding)
+
+
+def test_lm_score_by_hand(spark, monkeypatch):
+    """Scores of short and long texts against loops over single positions: windows, masks, spelling and mixture."""
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    shares, kept, fitted = np.array([0.3, 0.3, 0.4]), {}, attention_lm.fitted
+    monkeypatch.setattr(attention_lm, "shares_of", lambda *_: shares)
+    monkeypatch.setattr(attention_lm, "fitted", lambda *a: kept.setdefault("scorer", fitted(*a)))
+    rng = np.random.default_rng(0)
+    vocabulary = ["the", "castle", "of", "winter", "marketplace", "zzyzx", "and", "été", "don't"]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (0, 1, 3, 9, 40, 150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    rows = {r.doc_id: r for r in attention_lm.scored(docs, F.col("doc_id") != 3, ranks, P.PATTERN).collect()}
+    scorer, speller = kept["scorer"], attention_lm.Speller(ranks, P.PATTERN)
+    net, p = scorer.network, {k: v.astype(float) for k, v in scorer.network.p.items()}
+    counts = Counter(t for i, x in enumerate(texts) if i != 3 for t in [*x.split(), None])
+    total, kinds = sum(counts.values()), len(counts)
+    soft = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    def classes_at(ids: list[int]) -> np.ndarray:
+        """Chances of the class of the next id, after these (at most one window)."""
+        x = np.array([p["e"][net.rows[i]] + p["pos"][k] for k, i in enumerate(ids)])
+        weights = soft(np.array([(x[-1] @ p["q"]) @ (y @ p["k"]) / attention_lm.WIDTH**0.5 for y in x]))
+        h = x[-1] + sum(w * (y @ p["v"]) for w, y in zip(weights, x, strict=True)) @ p["o"]
+        return soft((h + np.maximum(h @ p["w1"] + p["b1"], 0) @ p["w2"]) @ p["out"] + p["bias"])
+
+    for i, text in enumerate(texts):
+        words = [*text.split(), None]
+        spelt = [[speller.end] if w is None else np.frombuffer(speller.spelt([w.encode()])[0], "<u4").tolist() for w in words]
+        ids, score = [speller.end], 0.0
+
+        def after(ids: list[int]) -> np.ndarray:
+            n, width, step = len(ids), attention_lm.WINDOW, attention_lm.WINDOW - attention_lm.KEEP
+            start = 0 if n <= width else -(-(n - width) // step) * step
+            return classes_at(ids[start:])
+
+        for w, own in zip(words, spelt, strict=True):
+            log, lift = 0.0, 0.0
+            for k, x in enumerate(own):
+                chance = after(ids)
+                c = net.classes[x]
+                log += math.log(chance[c]) + scorer.within[x]
+                if k == 0:
+                    log -= math.log(chance[: net.begin].sum())
+                    lift = math.log(chance[c]) - math.log(chance[: net.begin].sum()) - scorer.usual[c]
+                ids.append(x)
+            if w is not None:
+                log += math.log(after(ids)[: net.begin].sum())
+            base = (counts[w] + 1) / (total + kinds + 1)
+            score += math.log10(shares[0] * base + shares[1] * base * math.exp(lift) + shares[2] * math.exp(log))
+        assert math.isclose(rows[i].score, score, rel_tol=1e-3), (i, rows[i].score, score)
 
 
 # ---- 5
