@@ -5,47 +5,111 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _set(numbers: str) -> frozenset[str]:
-    return frozenset(f"P{n}" for n in numbers.split())
-
-
-# Property numbers by class, and their names.
+# Properties by class, their names and inverses.
+#: Relations that may be causes, with their names.
 NAMES = {
-    f"P{n}": name
-    for n, _, name in (
-        line.strip().partition(" ")
-        for line in """22 father;25 mother;40 child;50 author;57 director;58 screenwriter;61 discoverer or inventor;86 composer;112 founded by
-        ;138 named after;144 based on;155 follows;156 followed by;161 cast member;162 producer;167 structure replaced by;170 creator
-        ;175 performer;176 manufacturer;178 developer;184 doctoral advisor;185 doctoral student;272 production company;279 subclass of
-        ;287 designed by;344 director of photography;710 participant;737 influenced by;800 notable work;802 student;828 has cause
-        ;941 inspired by;1040 film editor;1066 student of;1344 participant of;1365 replaces;1366 replaced by;1431 executive producer
-        ;1478 has immediate cause;1479 has contributing factor;1536 immediate cause of;1537 contributing factor of;1542 cause of
-        ;2515 costume designer;2554 production designer;3092 film crew member;3448 stepparent;5191 derived from;6338 colorist""".split(";")
-    )
+    "P22": "father",
+    "P25": "mother",
+    "P40": "child",
+    "P50": "author",
+    "P57": "director",
+    "P58": "screenwriter",
+    "P61": "discoverer or inventor",
+    "P86": "composer",
+    "P112": "founded by",
+    "P138": "named after",
+    "P144": "based on",
+    "P155": "follows",
+    "P156": "followed by",
+    "P161": "cast member",
+    "P162": "producer",
+    "P167": "structure replaced by",
+    "P170": "creator",
+    "P175": "performer",
+    "P176": "manufacturer",
+    "P178": "developer",
+    "P184": "doctoral advisor",
+    "P185": "doctoral student",
+    "P272": "production company",
+    "P279": "subclass of",
+    "P287": "designed by",
+    "P344": "director of photography",
+    "P710": "participant",
+    "P737": "influenced by",
+    "P800": "notable work",
+    "P802": "student",
+    "P828": "has cause",
+    "P941": "inspired by",
+    "P1040": "film editor",
+    "P1066": "student of",
+    "P1344": "participant of",
+    "P1365": "replaces",
+    "P1366": "replaced by",
+    "P1431": "executive producer",
+    "P1478": "has immediate cause",
+    "P1479": "has contributing factor",
+    "P1536": "immediate cause of",
+    "P1537": "contributing factor of",
+    "P1542": "cause of",
+    "P2515": "costume designer",
+    "P2554": "production designer",
+    "P3092": "film crew member",
+    "P3448": "stepparent",
+    "P5191": "derived from",
+    "P6338": "colorist",
 }
 CAUSAL = frozenset(NAMES)
-STARTS = _set("569 571 575 577 580 729 1191 1319 1619 2031 3999 6949")
-ENDS = _set("570 576 582 730 746 1326 2032 2669 3999")
-POINTS = _set("585 1317")
-_ONLY_TIMES = _set("523 524 556 606 607 748 749 813 837 859 1249 1389 1636 1734 2285 2286 2610 2754 2755 2756 2894 2895 2913 2960 3415 3893") | _set(
-    "4282 4283 4602 4733 4734 6207 6208 6257 6555 6556 7103 7104 7124 7125 7506 7507 7584 7585 7588 7589 8556 8557 9714 9715"
+#: Times at which something begins.
+STARTS = frozenset({"P569", "P571", "P575", "P577", "P580", "P729", "P1191", "P1319", "P1619", "P2031", "P3999", "P6949"})
+#: Times at which something ends.
+ENDS = frozenset({"P570", "P576", "P582", "P730", "P746", "P1326", "P2032", "P2669", "P3999"})
+#: Points in time.
+POINTS = frozenset({"P585", "P1317"})
+#: Every property whose value is a time.
+TIMES = frozenset(
+    {
+        "P523", "P524", "P556", "P569", "P570", "P571", "P575", "P576", "P577", "P580", "P582", "P585",
+        "P606", "P607", "P729", "P730", "P746", "P748", "P749", "P813", "P837", "P859", "P1191", "P1249",
+        "P1317", "P1319", "P1326", "P1389", "P1619", "P1636", "P1734", "P2031", "P2032", "P2285", "P2286", "P2610",
+        "P2669", "P2754", "P2755", "P2756", "P2894", "P2895", "P2913", "P2960", "P3415", "P3893", "P3999", "P4282",
+        "P4283", "P4602", "P4733", "P4734", "P6207", "P6208", "P6257", "P6555", "P6556", "P6949", "P7103", "P7104",
+        "P7124", "P7125", "P7506", "P7507", "P7584", "P7585", "P7588", "P7589", "P8556", "P8557", "P9714", "P9715",
+    }
 )
-TIMES = STARTS | ENDS | POINTS | _ONLY_TIMES
-DATED = _set("26 69 106 108 348 449 793 1891")
+#: Statements whose qualifiers date them.
+DATED = frozenset({"P26", "P69", "P106", "P108", "P348", "P449", "P793", "P1891"})
 TIMES_AND_DATED = TIMES | DATED
-UNSPECIFIC = _set("828 1478 1479 1536 1537 1542")
-LEXEME_TO_LEXEME = _set("5191 5238 6571")
-LEXEME_TO_ITEM = _set("5137 6684")
-SENSE_TO_ITEM = LEXEME_TO_ITEM | _set("9970")
-SENSE_TO_SENSE = _set("5972 5973 5974 5975 6593 8471 12410")
-
-_BOTH_WAYS = ((22, 40), (184, 185), (1066, 802), (155, 156), (1365, 1366), (828, 1542), (1478, 1536), (1479, 1537), (710, 1344))
-INVERSES = {f"P{x}": f"P{y}" for a, b in _BOTH_WAYS for x, y in ((a, b), (b, a))} | {"P25": "P40"}
+UNSPECIFIC = frozenset({"P828", "P1478", "P1479", "P1536", "P1537", "P1542"})
+LEXEME_TO_LEXEME = frozenset({"P5191", "P5238", "P6571"})
+LEXEME_TO_ITEM = frozenset({"P5137", "P6684"})
+SENSE_TO_ITEM = frozenset({"P5137", "P6684", "P9970"})
+SENSE_TO_SENSE = frozenset({"P5972", "P5973", "P5974", "P5975", "P6593", "P8471", "P12410"})
+INVERSES = {
+    "P22": "P40",
+    "P25": "P40",
+    "P40": "P22",
+    "P155": "P156",
+    "P156": "P155",
+    "P184": "P185",
+    "P185": "P184",
+    "P710": "P1344",
+    "P802": "P1066",
+    "P828": "P1542",
+    "P1066": "P802",
+    "P1344": "P710",
+    "P1365": "P1366",
+    "P1366": "P1365",
+    "P1478": "P1536",
+    "P1479": "P1537",
+    "P1536": "P1478",
+    "P1537": "P1479",
+    "P1542": "P828",
+}
 #: Properties without an inverse of their own get one marked by an i.
 ALL_INVERSES = INVERSES | {x: y for p in CAUSAL - set(INVERSES) - {"P167"} for x, y in ((p, p + "i"), (p + "i", p))}
 
 #: Languages in which a label is looked for first.
-LABEL_ORDER = tuple("en de fr es it pl pt nl sv no fi ro".split())
+LABEL_ORDER = ("en", "de", "fr", "es", "it", "pl", "pt", "nl", "sv", "no", "fi", "ro")
 
 
 def dimension(spark: SparkSession) -> DataFrame:

@@ -9,7 +9,7 @@ from ..schemas import TITLE_CHARS
 
 # Namespaces and site names.
 #: Namespaces that never name an article.
-BLOCKED = tuple("category draft file help image mediawiki module portal special talk template user wikipedia wp".split())
+BLOCKED = ("category", "draft", "file", "help", "image", "mediawiki", "module", "portal", "special", "talk", "template", "user", "wikipedia", "wp")
 #: Sitelinks that end in `wiki` without being encyclopedias.
 NOT_ENCYCLOPEDIAS = "quote|source|books|news|versity|voyage|species|commons|data|media|meta"
 

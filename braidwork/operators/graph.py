@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import utrim
-from ..schemas import TITLE_CHARS
+from ..schemas import RESOLUTION_METHODS, TABLES, TITLE_CHARS, key, schema
+from ..sources.registry import with_new_codes
 
 # ---- aggregation
 
@@ -60,22 +63,60 @@ def load_report(table: str, rows: DataFrame) -> DataFrame:
     return rows.groupBy("lang").agg(F.count("*").alias("staged"), F.count_distinct(F.when(good, fields)).alias("inserted"), F.count_if(~good).alias("rejected"))
 
 
+def loaded_with_languages(table: str, rows: DataFrame, languages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """loaded() after languages (id, code) got a row for each code it lacked; and these languages."""
+    every = with_new_codes(languages, rows.select(F.col("lang").alias("code")))
+    return loaded(table, rows, every), every
+
+
+# ---- tables in place
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return spark.read.schema(schema(name)).parquet(f"{base}/{name}")
+
+
+def replace_table(spark: SparkSession, base: str, name: str, rows: DataFrame) -> None:
+    """Put rows in the place of a table of the catalogue. They are written aside and their key is checked first: where it repeats or is null, the
+    table stays as it was."""
+    staged = f"{base}/_staged/{name}-{uuid.uuid4().hex}"
+    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema(name).fields]).write.parquet(staged)
+    own = spark.read.schema(schema(name)).parquet(staged)
+    if bad := repeated_keys(own, key(name)).limit(3).collect():
+        raise ValueError(f"{name}: key repeated or null, as in {bad}")
+    own.write.mode("overwrite").parquet(f"{base}/{name}")
+
+
+def create_tables(spark: SparkSession, base: str) -> None:
+    """Every table of the catalogue, empty, where there is none yet; the names of resolution methods are filled in."""
+    for name in TABLES:
+        rows = RESOLUTION_METHODS if name == "resolution_methods" else []
+        spark.createDataFrame(rows, schema(name)).write.mode("ignore").parquet(f"{base}/{name}")
+
+
+def refresh_failed_targets(spark: SparkSession, base: str) -> None:
+    replace_table(spark, base, "obs_failed_targets", failed_targets(read_table(spark, base, "obs_conv_failures")))
+
+
 # ---- word pages
 
 
 def routed_word_links(links: DataFrame) -> DataFrame:
-    """src, dst, route of links (title, target): reject where too long or of a namespace, bad where a side is empty, else accept."""
+    """src, dst, n, route of links (title, target), each kind counted once: reject where its counted line is too long or it is of a namespace,
+    bad where a side is empty, else accept. A counted line is the count, a space and the two sides, without white space at its end."""
+    kinds = links.groupBy("title", "target").agg(F.count("*").alias("n"))
     src, dst = utrim(F.col("title")), utrim(F.col("target"))
     odd = lambda x: x.rlike('[:"\t]')
-    long = F.octet_length(F.concat_ws("\t", "title", "target")) > TITLE_CHARS
-    return links.select(src.alias("src"), dst.alias("dst"), F.when(long | odd(src) | odd(dst), "reject").when((src == "") | (dst == ""), "bad").otherwise("accept").alias("route"))
+    line = F.regexp_replace(F.concat_ws("\t", "title", "target"), r"(?U)\s+$", "")
+    long = F.length(F.col("n").cast("string")) + 1 + F.octet_length(line) > TITLE_CHARS
+    return kinds.select(src.alias("src"), dst.alias("dst"), "n", F.when(long | odd(src) | odd(dst), "reject").when((src == "") | (dst == ""), "bad").otherwise("accept").alias("route"))
 
 
 def word_links(links: DataFrame, distinct_per_language: bool = False) -> DataFrame:
     """src, dst, wkt_count: how often a pair occurs (or in how many languages) among accepted links."""
     if distinct_per_language:
         links = links.select("lang", utrim(F.col("title")).alias("title"), utrim(F.col("target")).alias("target")).distinct()
-    return routed_word_links(links).where("route = 'accept'").groupBy("src", "dst").agg(F.count("*").cast("int").alias("wkt_count"))
+    return routed_word_links(links).where("route = 'accept'").groupBy("src", "dst").agg(F.sum("n").cast("int").alias("wkt_count"))
 
 
 def word_entries(pairs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ hits decides. Languages are a column, never a loop, so a large edition is spread
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import after_colon, before_colon, capfirst, diagnostic, is_qid, qid_number, spaced, utrim
@@ -145,6 +145,27 @@ def stream_rows(rows: DataFrame, stream: str) -> DataFrame:
     return own.select("lang", "src", "dst").distinct()
 
 
+def write_streams(rows: DataFrame, anomalies: DataFrame, path: str) -> None:
+    """Every stream of resolve() as text, in folders by stream and language: fields parted by tabs, each line once. One pass over the rows."""
+    is_stream = lambda name: F.col("stream") == name
+    target, title = diagnostic(F.col("target")), diagnostic(F.col("title"))
+    line = (
+        F.when(is_stream("failed"), F.when(target.isNotNull(), F.concat_ws("\t", "src", target, target)))
+        .when(is_stream("src_not_found"), title)
+        .when(~is_stream("wikt"), F.concat_ws("\t", "src", "dst"))
+    )
+    method = F.when(is_stream("converted") & F.col("method").isNotNull(), F.struct(F.lit("witness_methods").alias("stream"), F.concat_ws("\t", "src", "dst", F.col("method").cast("string")).alias("value")))
+    both = F.array_compact(F.array(F.when(line.isNotNull(), F.struct("stream", line.alias("value"))), method))
+    lines = rows.select("lang", F.explode(both).alias("x")).select("x.stream", "lang", "x.value").distinct()
+    odd = anomalies.select(F.lit("redirect_anomalies").alias("stream"), "lang", F.concat_ws("\t", "title", "kind").alias("value"))
+    lines.unionByName(odd).write.partitionBy("stream", "lang").text(path)
+
+
+def read_streams(spark: SparkSession, path: str) -> DataFrame:
+    """stream, lang, value of what write_streams() wrote."""
+    return spark.read.schema("value string, stream string, lang string").text(path).select("stream", "lang", "value")
+
+
 def witness_methods(rows: DataFrame) -> DataFrame:
     return rows.where("stream = 'converted' AND method IS NOT NULL").select("lang", "src", "dst", "method").distinct()
 

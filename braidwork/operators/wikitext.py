@@ -14,19 +14,50 @@ from ..functions.text import link_target, utrim
 BRACKETS = r"\[\[([^\[\]]*)\]\]"
 _PAIR = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
 TEMPLATE = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("positional", T.ArrayType(T.StringType())), T.StructField("named", T.ArrayType(_PAIR))]))
-# Template names by what their arguments hold.
-#: How many places to skip and whether to take all that follow, by template name; a step of 2 takes every other one.
-_ILL = "ill;illm;ill-wd;interlanguage link;interlanguage link multi;interwiki link;link-interwiki"
-_HAT = "broader;details;further;main;see also"
-_SECOND = "about;redirect;redirect-distinguish;redirect2"
-ENCYCLOPEDIA = {n: (0, 1, False) for n in _ILL.split(";")} | {n: (0, 1, True) for n in _HAT.split(";")} | {n: (2, 2, True) for n in _SECOND.split(";")}
-CITED = [f"{x}-link" for x in "title chapter author editor publisher subject contribution encyclopedia work".split()]
-_WORD = "l;link;ll;l-self;m;m+;mention;m-self;altform;alt form;alternative form of;alternative spelling of;form of;infl of;inflection of"
-_ORIGIN = "bor;borrowed;cal;calque;clq;cog;cognate;der;derived;inh;inherited;lbor;learned borrowing;nc;noncog;obor;orthographic borrowing;phono-semantic matching"
-_ORIGIN += ";psm;semantic loan;semi-learned borrowing;sl;slbor;ubor;unadapted borrowing"
-_LIST = "alt;alter;ant;antonyms;coordinate terms;cot;holo;holonyms;hyper;hypernyms;hypo;hyponyms;mero;meronyms;syn;synonyms;tropo;troponyms"
-_LIST += ";af;affix;circumfix;com;compound;con;confix;pre;prefix;suf;suffix"
-DICTIONARY = {n: (1, 1, False) for n in _WORD.split(";")} | {n: (2, 1, False) for n in _ORIGIN.split(";")} | {n: (1, 1, True) for n in _LIST.split(";")}
+# Template names by what their arguments hold, and the parameters of citations that name articles.
+#: A target in the first argument.
+INTERLANGUAGE = {
+    "ill", "illm", "ill-wd", "interlanguage link", "interlanguage link multi", "interwiki link",
+    "link-interwiki",
+}
+#: A target in every argument.
+HATNOTES = {
+    "broader", "details", "further", "main", "see also",
+}
+#: A target in every other argument from the third on.
+DISAMBIGUATIONS = {
+    "about", "redirect", "redirect-distinguish", "redirect2",
+}
+#: Articles that a citation names.
+CITED = [
+    "title-link", "chapter-link", "author-link", "editor-link", "publisher-link",
+    "subject-link", "contribution-link", "encyclopedia-link", "work-link",
+]
+#: A target in the second argument.
+WORDS = {
+    "l", "link", "ll", "l-self", "m", "m+",
+    "mention", "m-self", "altform", "alt form", "alternative form of", "alternative spelling of",
+    "form of", "infl of", "inflection of",
+}
+#: A target in the third argument.
+ORIGINS = {
+    "bor", "borrowed", "cal", "calque", "clq", "cog",
+    "cognate", "der", "derived", "inh", "inherited", "lbor",
+    "learned borrowing", "nc", "noncog", "obor", "orthographic borrowing", "phono-semantic matching",
+    "psm", "semantic loan", "semi-learned borrowing", "sl", "slbor", "ubor",
+    "unadapted borrowing",
+}
+#: A target in every argument from the second on.
+WORD_LISTS = {
+    "alt", "alter", "ant", "antonyms", "coordinate terms", "cot",
+    "holo", "holonyms", "hyper", "hypernyms", "hypo", "hyponyms",
+    "mero", "meronyms", "syn", "synonyms", "tropo", "troponyms",
+    "af", "affix", "circumfix", "com", "compound", "con",
+    "confix", "pre", "prefix", "suf", "suffix",
+}
+#: By template name: how many arguments come before the first target, the step to the next, whether there is a next.
+ENCYCLOPEDIA = dict.fromkeys(INTERLANGUAGE, (0, 1, False)) | dict.fromkeys(HATNOTES, (0, 1, True)) | dict.fromkeys(DISAMBIGUATIONS, (2, 2, True))
+DICTIONARY = dict.fromkeys(WORDS, (1, 1, False)) | dict.fromkeys(ORIGINS, (2, 1, False)) | dict.fromkeys(WORD_LISTS, (1, 1, True))
 
 _PAIRS = re.compile(r"\{\{|\}\}")
 _MARKS = re.compile(r"\{\{|\}\}|\[\[|\]\]|\||=")
@@ -143,6 +174,11 @@ def links(pages: DataFrame, kind: str = "encyclopedia", with_template_links: boo
     return rows.withColumn("target", utrim(first) if kind == "dictionary" else first)
 
 
+def first_pages(pages: DataFrame, most: int) -> DataFrame:
+    """The first `most` pages by title that diagnostics read: a limit on a total order, so each run reads the same pages."""
+    return pages.where("ns IN (0, 14) AND redirect IS NULL").orderBy("title", "text").limit(most)
+
+
 def template_delta(pages: DataFrame, kind: str = "encyclopedia") -> DataFrame:
     """title, template, target: template targets that are not among the page's bracket targets."""
     own = pages.where("ns IN (0, 14) AND redirect IS NULL").withColumn("seen", F.array_distinct(bracket_targets(F.col("text"))))

@@ -14,6 +14,7 @@ from ..operators import wikitext as X
 from ..sources import readers as S
 from ..sources import registry as L
 from . import analysis as A
+from . import record_queries as D
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -70,8 +71,12 @@ def languages(spark: SparkSession, sf: str) -> DataFrame:
     return _t(spark, sf, "nation").select((F.col("n_nationkey") + 1).cast("smallint").alias("id"), F.col("n_name").alias("code"))
 
 
+def few_links(spark: SparkSession, sf: str) -> DataFrame:
+    return G.witness_links(_base(spark, sf).where("l_returnflag = 'N'").select("lang_id", "src", "dst"))
+
+
 def failures(spark: SparkSession, sf: str) -> DataFrame:
-    return _base(spark, sf).where("l_quantity > 40").select("lang_id", "src", F.col("p_name").alias("target")).distinct()
+    return _base(spark, sf).where("l_returnflag = 'R'").select("lang_id", "src", F.col("p_name").alias("target")).distinct()
 
 
 def _w(df: DataFrame) -> DataFrame:
@@ -108,23 +113,22 @@ def q_missing_targets(spark, sf):
 
 
 def q_promotable(spark, sf):
-    guesses = G.witness_links(_base(spark, sf).where("l_quantity > 45").select("lang_id", "src", "dst"), "n")
-    graph = G.witness_links(_base(spark, sf).where("l_quantity <= 25").select("lang_id", "src", "dst"))
-    return _w(A.promotable_best_guesses(guesses, graph, wd_links(spark, sf), 3))
+    guesses = G.witness_links(_base(spark, sf).where("l_returnflag = 'A'").select("lang_id", "src", "dst"), "n")
+    return _w(A.promotable_best_guesses(guesses, few_links(spark, sf), wd_links(spark, sf), 3))
 
 
 def q_coverage(spark, sf):
     methods = _base(spark, sf).select("lang_id", "src", "dst", (F.col("l_linenumber") % 3 + 1).alias("method")).distinct()
-    return _w(A.coverage_violations(methods, G.witness_links(_base(spark, sf).where("l_quantity <= 25").select("lang_id", "src", "dst")), None))
+    return _w(A.coverage_violations(methods, few_links(spark, sf), None))
 
 
 def q_hubs(spark, sf):
-    lost = _base(spark, sf).where("p_partkey % 3 = 0").select("lang_id", F.col("p_name").alias("title")).distinct()
+    lost = _base(spark, sf).where("l_returnflag = 'A'").select("lang_id", F.col("p_name").alias("title")).distinct()
     return _w(A.unconnected_hubs(lost, failures(spark, sf), languages(spark, sf)))
 
 
 def q_neighbours(spark, sf):
-    return A.neighbours(wp_links(spark, sf).where("wp_count > 10"), wd_links(spark, sf), "Q3")
+    return A.neighbours(wp_links(spark, sf), wd_links(spark, sf), "Q3")
 
 
 def q_neighbour_links(spark, sf):
@@ -199,8 +203,10 @@ def q_uniq_counts(spark, sf):
 
 
 def _word_links(spark, sf):
-    rows = _t(spark, sf, "documents").select("lang", F.split("text", " ").alias("w")).where("size(w) >= 2")
-    return rows.select("lang", F.get("w", F.lit(0)).alias("title"), F.get("w", F.lit(1)).alias("target"))
+    """Each word of every text, and the word after it."""
+    rows = _t(spark, sf, "documents").select("lang", F.regexp_extract_all("text", F.lit("[^ \n]+"), F.lit(0)).alias("w")).where("size(w) >= 2")
+    pairs = F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("title"), F.slice("w", F.lit(2), F.size("w") - 1).alias("target"))
+    return rows.select("lang", F.inline(pairs))
 
 
 def q_wkt_links(spark, sf):
@@ -264,10 +270,13 @@ QUERIES = {
     "language_dim": q_languages, "uri_names": q_names, "abstract_refs": q_abstract, "dq_primary_keys": q_keys, "load_report": q_load_report,
 }
 
-_FAIL = "failures AS (SELECT DISTINCT lang_id, src, p_name target FROM base WHERE l_quantity > 40)"
-_PART = "few AS (SELECT src, dst, list_sort(list(DISTINCT lang_id)) witnesses, count(DISTINCT lang_id) wp_count FROM base WHERE l_quantity <= 25 GROUP BY ALL)"
+_FAIL = "failures AS (SELECT DISTINCT lang_id, src, p_name target FROM base WHERE l_returnflag = 'R')"
+_PART = "few AS (SELECT src, dst, list_sort(list(DISTINCT lang_id)) witnesses, count(DISTINCT lang_id) wp_count FROM base WHERE l_returnflag = 'N' GROUP BY ALL)"
 _ANCHORS = r"""links AS (SELECT regexp_extract(html, '<html lang="([^"]*)"', 1) lang, CAST(page_id AS VARCHAR) title, trim(unnest(regexp_extract_all(html, '<a href="/([^"]*)"[^>]*>[^<]*</a>', 1))) target FROM pages)"""
-_PAIRS = "pairs AS (SELECT lang, split_part(text, ' ', 1) title, split_part(text, ' ', 2) target FROM documents WHERE contains(text, ' ')), clean AS (SELECT regexp_replace(title, '^\\s+|\\s+$', '', 'g') src, regexp_replace(target, '^\\s+|\\s+$', '', 'g') dst FROM pairs WHERE octet_length(encode(title)) + octet_length(encode(target)) + 1 <= 384), good AS (SELECT src, dst FROM clean WHERE src <> '' AND dst <> '' AND NOT regexp_matches(src, '[:\"\\t]') AND NOT regexp_matches(dst, '[:\"\\t]'))"
+_PAIRS = r"""words AS (SELECT lang, regexp_extract_all(text, '[^ \n]+') w FROM documents), pairs AS (SELECT unnest(w[:-2]) title, unnest(w[2:]) target FROM words WHERE len(w) > 1),
+ counted AS (SELECT title, target, count(*) n FROM pairs GROUP BY ALL),
+ clean AS (SELECT regexp_replace(title, '^\s+|\s+$', '', 'g') src, regexp_replace(target, '^\s+|\s+$', '', 'g') dst, n FROM counted WHERE strlen(regexp_replace(n || ' ' || title || chr(9) || target, '\s+$', '')) <= 384),
+ good AS (SELECT src, dst, n FROM clean WHERE src <> '' AND dst <> '' AND NOT regexp_matches(src, '[:"\t]') AND NOT regexp_matches(dst, '[:"\t]'))"""
 _J = "list_aggregate(witnesses, 'string_agg', ',') witnesses"
 ORACLES = {
     "wp_not_wd": f"WITH {BASE} SELECT src, dst, {_J}, wp_count FROM wp_links w WHERE wp_count > 10 AND NOT EXISTS (SELECT 1 FROM wd_links d WHERE (d.src = w.src AND d.dst = w.dst) OR (d.src = w.dst AND d.dst = w.src))",
@@ -277,10 +286,10 @@ ORACLES = {
     "language_recall": f"WITH {BASE} SELECT CAST(5 AS BIGINT) lang_id, CAST(12 AS BIGINT) min_count, count(*) FILTER (list_contains(witnesses, 5)) witnessed, count(*) FILTER (NOT list_contains(witnesses, 5)) not_witnessed FROM wp_links WHERE wp_count >= 12",
     "failed_targets": f"WITH {BASE}, {_FAIL} SELECT target, count(DISTINCT lang_id) n_langs, count(*) n_pairs FROM failures GROUP BY 1",
     "missing_targets": f"WITH {BASE}, {_FAIL} SELECT target, count(DISTINCT lang_id) n_langs, count(*) n_pairs FROM failures GROUP BY 1 ORDER BY 2 DESC, 3 DESC, 1 LIMIT 40",
-    "promotable_best_guesses": f"WITH {BASE}, {_PART}, guess AS (SELECT src, dst, count(DISTINCT lang_id) n FROM base WHERE l_quantity > 45 GROUP BY ALL), props AS (SELECT src, dst, string_agg(prop, ',' ORDER BY prop) wd_props FROM wd_links GROUP BY ALL) SELECT src, dst, n bg_witnesses, wp_count, wd_props FROM guess LEFT JOIN few USING (src, dst) LEFT JOIN props USING (src, dst) WHERE n >= 3",
+    "promotable_best_guesses": f"WITH {BASE}, {_PART}, guess AS (SELECT src, dst, count(DISTINCT lang_id) n FROM base WHERE l_returnflag = 'A' GROUP BY ALL), props AS (SELECT src, dst, string_agg(prop, ',' ORDER BY prop) wd_props FROM wd_links GROUP BY ALL) SELECT src, dst, n bg_witnesses, wp_count, wd_props FROM guess LEFT JOIN few USING (src, dst) LEFT JOIN props USING (src, dst) WHERE n >= 3",
     "coverage_violations": f"WITH {BASE}, {_PART}, m AS (SELECT DISTINCT lang_id, src, dst FROM base WHERE l_linenumber % 3 + 1 IN (2, 3)) SELECT src, dst, wp_count, count(DISTINCT lang_id) violating, round(CAST(count(DISTINCT lang_id) AS DOUBLE) / wp_count, 3) violation_fraction FROM m JOIN few USING (src, dst) WHERE list_contains(witnesses, lang_id) GROUP BY src, dst, wp_count",
-    "unconnected_hubs": f"WITH {BASE}, {_FAIL}, lost AS (SELECT DISTINCT lang_id, p_name title FROM base WHERE p_partkey % 3 = 0) SELECT code lang, title, count(*) inbound_failed FROM lost JOIN failures f ON f.lang_id = lost.lang_id AND f.target = title JOIN languages l ON l.id = lost.lang_id GROUP BY ALL ORDER BY 3 DESC, 1, 2 LIMIT 500",
-    "neighbors": f"WITH {BASE}, p AS (SELECT src, dst FROM wp_links WHERE wp_count > 10 UNION ALL SELECT src, dst FROM wd_links), n AS (SELECT * FROM p WHERE 'Q3' IN (src, dst)) SELECT src qid FROM n UNION SELECT dst FROM n",
+    "unconnected_hubs": f"WITH {BASE}, {_FAIL}, lost AS (SELECT DISTINCT lang_id, p_name title FROM base WHERE l_returnflag = 'A') SELECT code lang, title, count(*) inbound_failed FROM lost JOIN failures f ON f.lang_id = lost.lang_id AND f.target = title JOIN languages l ON l.id = lost.lang_id GROUP BY ALL ORDER BY 3 DESC, 1, 2 LIMIT 500",
+    "neighbors": f"WITH {BASE}, p AS (SELECT src, dst FROM wp_links UNION ALL SELECT src, dst FROM wd_links), n AS (SELECT * FROM p WHERE 'Q3' IN (src, dst)) SELECT src qid FROM n UNION SELECT dst FROM n",
     "neighbor_links": f"WITH {BASE} SELECT src, dst, wp_count FROM wp_links WHERE 'Q3' IN (src, dst)",
     "neighbor_statements": f"WITH {BASE} SELECT src, dst, prop FROM wd_links WHERE 'Q3' IN (src, dst)",
     "redirect_closure": """WITH RECURSIVE r AS (SELECT 'T' || p_partkey title, 'T' || ((p_partkey * 7 + 3) % (SELECT count(*) FROM part)) target FROM part WHERE p_partkey % 3 <> 0),
@@ -302,7 +311,7 @@ ORACLES = {
  SELECT l.lang, src, l.target, CASE WHEN src IS NULL THEN NULL ELSE coalesce(conv, mq) END dst, CAST(NULL AS BIGINT) AS method, CASE WHEN src IS NULL THEN 'src_not_found' WHEN conv IS NOT NULL THEN 'converted' WHEN mq IS NOT NULL THEN CASE WHEN amb THEN 'mul_ambiguous' ELSE 'mul' END ELSE 'failed' END stream, count(*) n
  FROM links l LEFT JOIN own USING (lang, title) LEFT JOIN hit h ON h.lang = l.lang AND h.target = l.target WHERE l.target <> '' GROUP BY ALL""",
     "uniq_count_lines": r"WITH l AS (SELECT DISTINCT lang, unnest(string_split(text, chr(10))) line FROM documents) SELECT line, count(*) n FROM l WHERE line <> '' GROUP BY 1",
-    "wkt_links": f"WITH {_PAIRS} SELECT src, dst, count(*) wkt_count FROM good GROUP BY ALL",
+    "wkt_links": f"WITH {_PAIRS} SELECT src, dst, CAST(sum(n) AS BIGINT) wkt_count FROM good GROUP BY ALL",
     "wkt_entries": f"WITH {_PAIRS} SELECT src entry FROM good UNION SELECT dst FROM good",
     "coords_dedup": "SELECT 'Q' || c_nationkey qid, CAST(c_custkey % 5 AS DOUBLE) latitude, CAST(c_custkey % 3 AS DOUBLE) longitude, min(CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END) altitude, CAST(NULL AS DOUBLE) AS precision, c_mktsegment globe FROM customer GROUP BY ALL",
     "mul_ambiguity": "SELECT p_name AS label, 'Q' || min(p_partkey) qid, count(DISTINCT p_partkey) > 1 ambiguous FROM part GROUP BY 1",
@@ -313,4 +322,6 @@ ORACLES = {
     "dq_primary_keys": "SELECT l_orderkey, l_linenumber, count(*) n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "load_report": f"WITH {BASE}, {_FAIL} SELECT CAST(lang_id AS VARCHAR) lang, count(*) staged, CASE WHEN lang_id % 2 = 0 THEN CAST(0 AS BIGINT) ELSE count(*) END inserted, CASE WHEN lang_id % 2 = 0 THEN count(*) ELSE CAST(0 AS BIGINT) END rejected FROM failures GROUP BY lang_id",
 }
+QUERIES |= D.QUERIES
+ORACLES |= D.ORACLES
 ORACLES["stream_counts"] = f"SELECT lang, stream, CAST(sum(n) AS BIGINT) n, CAST(0 AS BIGINT) too_long FROM ({ORACLES['resolve_links']}) GROUP BY ALL"
