@@ -3,6 +3,7 @@
 import json
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from braidwork.operators import entities as E
@@ -117,7 +118,7 @@ def test_word_links(spark):
     links = spark.createDataFrame(rows, "lang string, title string, target string")
     assert rows_of(G.word_links(links)) == [("a", "b", 3)]
     assert rows_of(G.word_links(links, distinct_per_language=True)) == [("a", "b", 2)]
-    assert Counter(r.route for r in G.routed_word_links(links).collect()) == {"accept": 3, "reject": 3, "bad": 1}
+    assert Counter(r.route for r in G.routed_word_links(links).collect()) == {"accept": 2, "reject": 3, "bad": 1}
     assert rows_of(G.word_entries(G.word_links(links))) == [("a",), ("b",)]
 
 
@@ -191,3 +192,23 @@ def test_abstract_and_functions(spark):
 def test_first_per_key(spark):
     rows = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, v int")
     assert rows_of(E.first_per_key(rows, ["k"], [F.col("v")])) == [("a", 1), ("b", 3)]
+
+
+def test_counted_lines_are_measured_whole(spark):
+    """A count, a space, the two sides and the tab between them: 384 bytes pass, 385 do not."""
+    fits, long, counted = "a" * 380, "b" * 381, "c" * 380
+    rows = [(fits, "x"), (long, "x")] + [(counted, "y")] * 10
+    links = spark.createDataFrame(rows, "title string, target string")
+    assert {(r.src[0], r.n): r.route for r in G.routed_word_links(links).collect()} == {("a", 1): "accept", ("b", 1): "reject", ("c", 10): "reject"}
+    assert [(r.src[0], r.wkt_count) for r in G.word_links(links).collect()] == [("a", 1)]
+
+
+def test_tables_in_place(spark, tmp_path):
+    base = str(tmp_path / "db")
+    G.create_tables(spark, base)
+    one = spark.createDataFrame([("Q1", "x", 1)], "qid string, best_label string, wp_count int")
+    G.replace_table(spark, base, "wd_entities", one)
+    with pytest.raises(ValueError, match="key"):
+        G.replace_table(spark, base, "wd_entities", one.union(one))
+    assert G.read_table(spark, base, "wd_entities").count() == 1
+    assert G.read_table(spark, base, "resolution_methods").count() == 3

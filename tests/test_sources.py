@@ -121,3 +121,28 @@ def test_writers(spark, tmp_path):
     assert [r.qid for r in spark.read.parquet(str(tmp_path / "t")).orderBy("qid").collect()] == ["Q1", "Q2"]
     w = spark.createDataFrame([([1, 5],)], "w array<smallint>")
     assert w.select(G.array_literal(F.col("w")).alias("x")).first().x == "{1,5}"
+
+
+def test_tagged_streams(spark, tmp_path):
+    (tmp_path / "en.txt").write_text("a\tb\r\n\nb\tc\n")
+    (tmp_path / "de").mkdir()
+    (tmp_path / "de" / "part-0").write_text("x\nx\nw\n")
+    streams = S.tagged_streams(spark, {"en": str(tmp_path / "en.txt"), "de": str(tmp_path / "de")})
+    assert sorted((r.lang, r.value) for r in streams.collect()) == [("de", "w"), ("de", "x"), ("de", "x"), ("en", "a\tb"), ("en", "b\tc")]
+    assert [tuple(r) for r in S.order_faults(streams).collect()] == [("de", 2)]
+    with pytest.raises(ValueError, match="de"):
+        S.sorted_unique(streams)
+    assert S.sorted_unique(streams.where("lang = 'en'")).count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        S.tagged_streams(spark, {"fr": str(tmp_path / "none")})
+
+
+def test_order_across_blocks(spark, tmp_path):
+    lines = [f"{i:07d}" for i in range(3000)]
+    (tmp_path / "a").write_text("\n".join(lines))
+    (tmp_path / "b").write_text("\n".join([*lines[:1500], lines[3], *lines[1500:]]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        assert [tuple(r) for r in S.order_faults(S.tagged_streams(spark, {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")})).collect()] == [("b", 1)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
