@@ -180,7 +180,9 @@ def test_trees_are_the_best_cuts_by_hand():
         parts = [(0, 9)]
         while len(parts) < quality_gam.LEAVES:
             gains = [(worth(a, m) + worth(m, b) - worth(a, b), a, m, b) for a, b in parts for m in range(a + 1, b)]
-            gain, a, m, b = max(gains)
+            gain, a, m, b = max(gains, default=(0, 0, 0, 0))
+            if gain <= 1e-9:
+                break
             parts.remove((a, b))
             parts += [(a, m), (m, b)]
         values = np.zeros(9)
