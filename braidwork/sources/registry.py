@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import hashlib
 import json
 import re
+import shutil
 import time
 import urllib.error
 import urllib.request
@@ -94,12 +97,58 @@ def manifest(text: str) -> dict[str, str]:
     return {name.strip().lstrip("*"): digest for digest, _, name in (line.partition(" ") for line in text.splitlines()) if name.strip()}
 
 
-def discovered(index: str, fetch_page=fetch) -> dict:
-    """Registry made from index pages below `index`; a failing probe stops it rather than losing a language."""
+def discovered(index: str, fetch_page=fetch, resources: str | None = None) -> dict:
+    """Registry made from index pages below `index`, and from the page `resources` that lists resource languages; a failing probe stops it rather
+    than losing a language, as does a list without any."""
     ids = wiki_ids(fetch_page(index) or "")
     found = {"wikipedia": with_suffix(ids, "wiki"), "wiktionary": with_suffix(ids, "wiktionary")}
     exported = {k: [c for c in v if export_dates(fetch_page(f"{index}/{c}{'wiki' if k == 'wikipedia' else 'wiktionary'}/") or "")] for k, v in found.items()}
-    return exported | {"wikipedia_no_export": [c for c in found["wikipedia"] if c not in exported["wikipedia"]], "dbpedia": []}
+    listed = resource_languages(fetch_page(resources) or "") if resources else []
+    if not ids or (resources and not listed):
+        raise ValueError(f"no languages listed at {resources if ids else index}")
+    return exported | {"wikipedia_no_export": [c for c in found["wikipedia"] if c not in exported["wikipedia"]], "dbpedia": listed}
+
+
+def fetch_file(url: str, path: Path) -> None:
+    with urllib.request.urlopen(url, timeout=600) as r, open(path, "wb") as f:
+        shutil.copyfileobj(r, f)
+
+
+def _sha256(path: Path) -> str:
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
+def download(index: str, wiki: str, folder: str, fetch_page=fetch, fetch_to=fetch_file, prune: bool = True) -> list[str]:
+    """Paths of all files of the newest complete export of a wiki: those with a list of checksums. Files that are there and whole are not fetched
+    again; one whose sum differs is removed and an error. Folders of other dates go, once all is well."""
+    for date in export_dates(fetch_page(f"{index}/{wiki}/") or ""):
+        base = f"{index}/{wiki}/{date}"
+        if (sums := fetch_page(f"{base}/SHA256SUMS")) is not None:
+            break
+    else:
+        raise FileNotFoundError(f"{wiki} has no complete export")
+    own = Path(folder) / wiki / date
+    own.mkdir(parents=True, exist_ok=True)
+    wanted = manifest(sums)
+    for name, digest in wanted.items():
+        path, part = own / name, own / f".{name}.part"
+        if path.exists() and _sha256(path) == digest:
+            continue
+        fetch_to(f"{base}/{name}", part)
+        if _sha256(part) != digest:
+            part.unlink()
+            raise ValueError(f"{name}: the checksum differs")
+        part.replace(path)
+    for other in (Path(folder) / wiki).iterdir() if prune else ():
+        if other.is_dir() and other != own and re.fullmatch(r"\d{4}-\d{2}-\d{2}|\d{8}", other.name):
+            shutil.rmtree(other)
+    return sorted(str(own / name) for name in wanted)
+
+
+def featured_url(base: str, lang: str, day: datetime.date) -> str:
+    """Where the feed of a day's featured pages lies; fetch() gets it, pretty() shows it."""
+    return f"{base.rstrip('/')}/{lang}/featured/{day:%Y/%m/%d}"
 
 
 def pretty(registry: dict) -> str:

@@ -146,3 +146,37 @@ def test_order_across_blocks(spark, tmp_path):
         assert [tuple(r) for r in S.order_faults(S.tagged_streams(spark, {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")})).collect()] == [("b", 1)]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_discovery_lists_resource_languages():
+    pages = {"i": '<a href="enwiki/">', "i/enwiki/": '<a href="2020-01-01/">', "r": '<a href="?lang%3Dde">'}
+    found = L.discovered("i", pages.get, "r")
+    assert (found["wikipedia"], found["dbpedia"]) == (["en"], ["de"])
+    with pytest.raises(ValueError, match="r"):
+        L.discovered("i", (pages | {"r": ""}).get, "r")
+
+
+def test_downloads_are_verified(tmp_path):
+    import hashlib
+
+    files = {"a.xml": b"one", "b.xml": b"two"}
+    sums = "".join(f"{hashlib.sha256(x).hexdigest()}  {n}\n" for n, x in files.items())
+    pages = {"i/enwiki/": '<a href="2021-01-01/"><a href="2020-06-01/">', "i/enwiki/2020-06-01/SHA256SUMS": sums}
+    got = []
+
+    def fetch_to(url, path):
+        got.append(url)
+        path.write_bytes(files[url.rsplit("/", 1)[1]])
+
+    (tmp_path / "enwiki" / "2019-01-01").mkdir(parents=True)
+    paths = L.download("i", "enwiki", str(tmp_path), pages.get, fetch_to)
+    assert [p.rsplit("/", 2)[1:] for p in paths] == [["2020-06-01", "a.xml"], ["2020-06-01", "b.xml"]]
+    assert not (tmp_path / "enwiki" / "2019-01-01").exists()
+    L.download("i", "enwiki", str(tmp_path), pages.get, fetch_to)
+    assert len(got) == 2
+    files["a.xml"] = b"spoilt"
+    (tmp_path / "enwiki" / "2020-06-01" / "a.xml").write_bytes(b"x")
+    with pytest.raises(ValueError, match="a.xml"):
+        L.download("i", "enwiki", str(tmp_path), pages.get, fetch_to)
+    with pytest.raises(FileNotFoundError):
+        L.download("i", "dewiki", str(tmp_path), pages.get, fetch_to)
