@@ -1,10 +1,10 @@
 """Quality rules with DataFrame functions only: repetition counts, then distribution divergence from language references.
 
-Two histograms of a document are compared with those of each reference language by Jensen-Shannon distance (square root of the
+Two histograms of a document are compared with those of each language by Jensen-Shannon distance (square root of the
 divergence in bits, 0 to 1): character classes of its words (lower-case and caseless letters, upper-case letters, digits, the
 rest), and its common words (the language's TOP most common ones, other words). A document is judged against the language
-nearest by common words. It is rejected if its characters alone are far, or its characters and words both are; texts with fewer than MIN_WORDS words are too short
-for a histogram and are never rejected by distance.
+nearest by common words; of equally near ones the first by code. It is rejected if its characters alone are far, or its characters and words both are. Texts
+with fewer than GUARD_WORDS words are too short for the histogram of words, and those with fewer than MIN_WORDS fail the base rule.
 
 Words of three-word windows are compared by 64-bit hash. A document's windows are sorted as longs (hash prefix and position in one),
 so work is n log n for any length, and nothing leaves the row: there is no shuffle, hence no skew.
@@ -22,19 +22,21 @@ from .common import ids_and_texts, plain, table
 
 SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-#: No distance verdict below this many words.
+#: No verdict by common words below this many words; characters are many enough from MIN_WORDS on.
 GUARD_WORDS = 80
 #: Rejected: characters beyond MAX_CHAR_DISTANCE, or characters and words both beyond the smaller pair.
 MAX_CHAR_DISTANCE, BOTH = 0.25, (0.12, 0.24)
-#: Shares of words in running text, per thousand, of each language's most common words.
+#: Shares of words in running text, per thousand, of each language's most common words, rounded as word-frequency lists of
+#: newspapers and encyclopedias give them.
 LANGUAGES = {
-    "en": {"the": 60, "of": 36, "and": 24, "to": 20, "in": 17, "a": 16, "is": 12, "that": 10},
-    "de": {"der": 36, "die": 32, "und": 28, "in": 20, "den": 14, "von": 12, "zu": 11, "das": 10},
-    "fr": {"de": 50, "la": 30, "le": 22, "et": 20, "les": 20, "des": 18, "en": 14, "un": 12},
-    "es": {"de": 55, "la": 36, "que": 30, "el": 28, "en": 25, "y": 24, "a": 20, "los": 16},
+    "en": {"the": 60, "of": 36, "and": 24, "to": 20, "in": 17, "a": 16, "is": 12, "that": 10, "for": 9, "was": 8, "on": 7, "as": 7},
+    "de": {"der": 36, "die": 32, "und": 28, "in": 20, "den": 14, "von": 12, "zu": 11, "das": 10, "mit": 9, "des": 8, "sich": 7, "auf": 7},
+    "fr": {"de": 50, "la": 30, "le": 22, "et": 20, "les": 20, "des": 18, "en": 14, "un": 12, "du": 12, "une": 11, "que": 9, "est": 9},
+    "es": {"de": 55, "la": 36, "que": 30, "el": 28, "en": 25, "y": 24, "a": 20, "los": 16, "se": 13, "del": 12, "las": 10, "un": 9},
 }
-#: Shares of word characters by class: lower-case and caseless letters, upper-case letters, digits, the rest.
-CHARS = [0.945, 0.025, 0.005, 0.025]
+#: Shares of word characters by language and class: lower-case and caseless letters, upper-case letters, digits, the rest. Nouns begin with upper
+#: case in German; apostrophes, accents apart, make the rest larger in French.
+CHARS = {"en": [0.945, 0.025, 0.005, 0.025], "de": [0.925, 0.045, 0.005, 0.025], "fr": [0.938, 0.024, 0.005, 0.033], "es": [0.947, 0.022, 0.005, 0.026]}
 BITS = 30
 
 
@@ -96,7 +98,7 @@ def _distances(docs: DataFrame, out: DataFrame) -> DataFrame:
     own = F.array(share(F.col("q_letters") - F.col("q_upper")), share(F.col("q_upper")), share(F.col("q_digits")), share(chars - F.col("q_letters") - F.col("q_digits")))
     every = sorted({w for ws in LANGUAGES.values() for w in ws})
     bare = F.transform("q_words", lambda w: F.lower(F.rtrim(w, F.lit(".,"))))
-    out = out.withColumns({"q_char_distance": js_distance(own, doubles(CHARS)), "q_common": F.filter(bare, lambda w: w.isin(every))})
+    out = out.withColumns({"q_shares": own, "q_common": F.filter(bare, lambda w: w.isin(every))})
     count = lambda w: F.size(F.filter("q_common", lambda v: v == w))
     out = out.withColumn("q_counts", F.create_map(*[x for w in every for x in (F.lit(w), count(w))]))
     distances = []
@@ -104,17 +106,17 @@ def _distances(docs: DataFrame, out: DataFrame) -> DataFrame:
         own = [F.col("q_counts")[w] for w in words]
         some = [(x / F.greatest(F.col("q_n_words"), F.lit(1))).cast("double") for x in own]
         rest = F.lit(1.0) - F.aggregate(F.array(*some), F.lit(0.0), lambda a, b: a + b)
-        distances.append(F.struct(js_distance(F.array(*some, rest), doubles([v / 1000 for v in words.values()] + [1 - sum(words.values()) / 1000])).alias("d"), F.lit(lang).alias("lang")))
+        distances.append(F.struct(js_distance(F.array(*some, rest), doubles([v / 1000 for v in words.values()] + [1 - sum(words.values()) / 1000])).alias("d"), F.lit(lang).alias("lang"), js_distance(F.col("q_shares"), doubles(CHARS[lang])).alias("c")))
     out = out.withColumn("q_nearest", F.array_min(F.array(*distances)))
     return out.select(
-        *docs.columns, "q_n_words", "q_word_chars", "q_symbols", "q_dup_lines", "q_repeat_words", "q_char_distance", F.col("q_nearest")["d"].alias("q_word_distance"), F.col("q_nearest")["lang"].alias("q_lang")
+        *docs.columns, "q_n_words", "q_word_chars", "q_symbols", "q_dup_lines", "q_repeat_words", F.col("q_nearest")["c"].alias("q_char_distance"), F.col("q_nearest")["d"].alias("q_word_distance"), F.col("q_nearest")["lang"].alias("q_lang")
     )
 
 
 def judged(docs: DataFrame, text_col: str = "text", guard_words: int = GUARD_WORDS, max_char: float = MAX_CHAR_DISTANCE, both: tuple[float, float] = BOTH) -> DataFrame:
     """measured() with q_base_failed and q_kept."""
     both_far = (F.col("q_char_distance") > both[0]) & (F.col("q_word_distance") > both[1])
-    far = (F.col("q_n_words") >= guard_words) & ((F.col("q_char_distance") > max_char) | both_far)
+    far = (F.col("q_char_distance") > max_char) | ((F.col("q_n_words") >= guard_words) & both_far)
     failed = (F.col("q_n_words") < MIN_WORDS) | (100 * F.col("q_repeat_words") > REPEAT_PERCENT * F.col("q_n_words"))
     out = measured(docs, text_col).withColumns({"q_base_failed": failed, "q_kept": ~(failed | far)})
     # a filter on the results stays above this row number; pushed below the projections, it would repeat all of them inside each lambda
