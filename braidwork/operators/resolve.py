@@ -86,7 +86,7 @@ def candidates(allow_pseudo_prefix: bool = True) -> Column:
     title, hop = F.concat(F.lit("t:"), lang), F.concat(F.lit("r:"), lang)
     return F.array_compact(
         F.array(
-            _candidate(1, title, t), _candidate(2, title, cap, cap != t), _candidate(3, hop, t), _candidate(4, hop, cap, cap != t), _candidate(5, title, neat, neat != t),
+            _candidate(2, title, cap, cap != t), _candidate(3, hop, t), _candidate(4, hop, cap, cap != t), _candidate(5, title, neat, neat != t),
             _candidate(6, "media", suffix, colon), _candidate(7, "media", bare, colon & (bare != suffix)),
             _candidate(9, other, suffix, crossed), _candidate(10, other, capfirst(suffix), crossed & (capfirst(suffix) != suffix)),
             _candidate(11, "t:mul", t), _candidate(12, "t:mul", cap, cap != t), _candidate(13, "t:best", t), _candidate(14, "t:best", cap, cap != t),
@@ -95,7 +95,17 @@ def candidates(allow_pseudo_prefix: bool = True) -> Column:
 
 
 def resolve_targets(targets: DataFrame, found_in: DataFrame, allow_pseudo_prefix: bool = True) -> DataFrame:
-    """targets (lang, target, distinct) with stream, qid (or file name) and method (1 redirect chain, 2 literal id, 3 other language)."""
+    """targets (lang, target, distinct) with stream, qid (or file name) and method (1 redirect chain, 2 literal id, 3 other language).
+
+    Most targets are titles as they stand: these are joined first, and only the others become candidates."""
+    own = F.col("space").startswith("t:")
+    direct = found_in.where(own).select(F.substring("space", F.lit(3), F.length("space")).alias("lang"), F.col("key").alias("target"), F.col("qid").alias("own"))
+    first = targets.join(direct, ["lang", "target"], "left")
+    done = first.where("own IS NOT NULL").select("lang", "target", F.lit("converted").alias("stream"), F.col("own").alias("dst"), F.lit(None).cast("smallint").alias("method"), F.lit(1).alias("rank"))
+    return done.unionByName(_by_candidates(first.where("own IS NULL").drop("own"), found_in, allow_pseudo_prefix))
+
+
+def _by_candidates(targets: DataFrame, found_in: DataFrame, allow_pseudo_prefix: bool) -> DataFrame:
     asked = targets.select("lang", "target", F.explode(candidates(allow_pseudo_prefix)).alias("c")).select("lang", "target", "c.*")
     hits = asked.join(found_in, ["space", "key"]).groupBy("lang", "target").agg(F.min(F.struct("rank", "qid", "key", "ambiguous", "depth")).alias("h"))
     out = targets.join(hits, ["lang", "target"], "left")
