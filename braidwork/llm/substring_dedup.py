@@ -132,6 +132,8 @@ class Block:
 
 
 def _dealt(values: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(values):  # a block without windows: np.split() would give one part, and no bucket for it
+        return
     own = (keys % U64(buckets)).astype(np.int64)
     order = np.argsort(own, kind="stable")
     found, at = np.unique(own[order], return_index=True)
