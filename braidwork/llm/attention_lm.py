@@ -122,7 +122,7 @@ def word_counts(docs: DataFrame, most: int = 400_000) -> DataFrame:
         counts: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in counts]), pa.array(counts.values(), pa.int64())], names=["word", "c"])
+            out = pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "c"])
             counts.clear()
             return out
 
@@ -137,7 +137,8 @@ def word_counts(docs: DataFrame, most: int = 400_000) -> DataFrame:
                 if len(counts) > most or size > 128 << 20:
                     yield flush()
                     size = 0
-        yield flush()
+        if counts:
+            yield flush()
 
     return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
