@@ -10,10 +10,9 @@ one, ids add up to a proper chance of each word, and the model's chance of a wor
 attention, MIX being fitted by expectation maximisation.
 
 Word counts cover all training documents. The FREQUENT most frequent words, a bounded table, are broadcast; scores of all other words are
-finished by a shuffled join with the whole table. The network and the id classes are learned from one run of RUN words in SHARE of every
-training document, chosen by hash of the id and the run's place, so what they are learned from grows with the corpus; a run is read
-where it lies, and no two documents share one. Training goes in ROUNDS rounds over disjoint parts of the documents: each task takes
-steps on its own runs, LEAST_STEPS at least (small inputs are gone through again), and the mean of all tasks' weights, by ids
+finished by a shuffled join with the whole table. The network and the id classes are learned from every id of every training document; a text is
+read where it lies, and no window spans two. Training goes in ROUNDS rounds over disjoint parts of the documents: each task takes
+steps on all windows of its own texts, LEAST_STEPS at least (small inputs are gone through again), and the mean of all tasks' weights, by ids
 seen, begins the next round. MIX is fitted on every word of every training document, counted in cells of 1 / FINE nats.
 
 Caches of words are bounded by bytes.
@@ -44,7 +43,9 @@ from .common import ids_and_texts, raw_texts, shared, slices, table, written
 
 WINDOW, KEEP, WIDTH, HIDDEN = 48, 12, 24, 32
 FREQUENT = 1 << 17
-RUN, SHARE, ROUNDS, LEAST_STEPS, STEP, BATCH, STEP_BATCH, GROUPS = 24, 8, 3, 100, 4e-3, 64, 64, 16
+ROUNDS, LEAST_STEPS, STEP, BATCH, STEP_BATCH, GROUPS = 3, 100, 4e-3, 64, 64, 16
+#: One in so many ids of a training document is learned from: all of them.
+SHARE = 1
 #: Longest word in the broadcast table, and bytes of a worker's cache of spelt words.
 FREQUENT_BYTES, CACHE_BYTES = 64, 40 << 20
 #: Cells of the mixture's statistics: by attention against unigram, from LEAST_REL nats on, and by lift, from LEAST_LIFT on.
@@ -176,23 +177,9 @@ def id_counts(counts: DataFrame, ranks: bytes, pattern: str) -> np.ndarray:
 
 
 def runs_of(keys: list[int], texts: list[bytes | None], speller: Speller) -> list[np.ndarray]:
-    """Ids of the runs that are learned from, of all of these documents: RUN words, or the last of a text with its end; before each the id before it.
-
-    Run k of a document is taken where k, moved on by its key, is a multiple of SHARE."""
-    runs, last, begins = [], [], []
-    for key, text in zip(keys, texts, strict=True):
-        words = tokens_of(text)
-        n = len(words) // RUN + 1
-        for k in range(-(key * 0x9E3779B97F4A7C15 >> 32) % SHARE, n, SHARE):
-            runs.append(words[max(k * RUN - 1, 0) : (k + 1) * RUN])
-            begins.append(k > 0)
-            last.append(k == n - 1)
-    end, out = np.array([speller.end], np.int32), []
-    for spelt, inner, ended in zip(speller.all_spelt(runs), begins, last, strict=True):
-        head = np.frombuffer(spelt[0], "<u4")[-1:] if inner else end
-        ids = np.frombuffer(b"".join(spelt[1:] if inner else spelt), "<u4")
-        out.append(np.concatenate([head, ids, end] if ended else [head, ids]).astype(np.int32))
-    return out
+    """What is learned from: the ids of each text, all of them, between two ends."""
+    end = np.array([speller.end], "<u4").tobytes()
+    return [np.frombuffer(b"".join([end, *spelt, end]), "<i4") for spelt in speller.all_spelt([tokens_of(t) for _, t in zip(keys, texts, strict=True)])]
 
 
 def all_windows(ids: np.ndarray) -> np.ndarray:
@@ -225,7 +212,7 @@ def parted(texts: list[np.ndarray]) -> np.ndarray:
 
 
 def contexts(docs: DataFrame, top: np.ndarray, ranks: bytes, pattern: str) -> np.ndarray:
-    """How often each of the top ids has each of the most frequent ids before it, next or near, in the runs of all documents."""
+    """How often each of the top ids has each of the most frequent ids before it, next or near, in the texts of all documents."""
     sent = shared(docs.sparkSession, (ranks, pattern), lambda x: Speller(*x))
     shape = len(top), 2 * min(len(top), 256) + 1
 
@@ -301,20 +288,28 @@ class Network:
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
     def forward(self, ids: np.ndarray) -> tuple:
-        """Class logits at each position of each window (rows of ids, all >= 0), and what backward needs."""
-        p, n = self.p, ids.shape[1]
-        x = p["e"][self.rows[ids]] + p["pos"][:n]
-        q, k, v = x @ p["q"] * np.float32(WIDTH**-0.5), x @ p["k"], x @ p["v"]
+        """Class logits at each position of each window (rows of ids, all >= 0), a row a position, and what backward needs."""
+        p, (b, n), w = self.p, ids.shape, WIDTH
+        x = p["e"].take(self.rows.take(ids.ravel()), axis=0)
+        x.reshape(b, n, w)[:] += p["pos"][:n]
+        q, k, v = ((x @ p[name]).reshape(b, n, w) for name in ("q", "k", "v"))
+        q *= np.float32(w**-0.5)
         s = q @ k.transpose(0, 2, 1)
         s += self.mask[:n, :n]
         s -= s.max(axis=2, keepdims=True)
         np.exp(s, out=s)
         s /= s.sum(axis=2, keepdims=True)
-        a = s @ v
-        h = x + a @ p["o"]
-        u = np.maximum(h @ p["w1"] + p["b1"], 0)
-        g = h + u @ p["w2"]
-        return g @ p["out"] + p["bias"], (x, q, k, v, s, a, h, u, g)
+        a = (s @ v).reshape(b * n, w)
+        h = a @ p["o"]
+        h += x
+        u = h @ p["w1"]
+        u += p["b1"]
+        np.maximum(u, 0, out=u)
+        g = u @ p["w2"]
+        g += h
+        z = g @ p["out"]
+        z += p["bias"]
+        return z, (x, q, k, v, s, a, h, u, g)
 
     def ready(self) -> "Network":
         """Tables for chances(): input, query, key and value of each embedding and of each place, so that scoring only adds them."""
@@ -353,30 +348,37 @@ class Network:
 
     def slopes(self, ids: np.ndarray, targets: np.ndarray, some: np.ndarray) -> dict:
         p, (z, (x, q, k, v, s, a, h, u, g)) = self.p, self.forward(ids)
-        z = np.exp(z - z.max(axis=2, keepdims=True))
-        z /= z.sum(axis=2, keepdims=True)
-        b, n, _ = z.shape
-        z[np.arange(b)[:, None], np.arange(n), self.classes[targets]] -= 1
-        z *= (some / max(some.sum(), 1))[..., None].astype(np.float32)
-        flat = lambda y: y.reshape(-1, y.shape[-1])
-        d = {"out": flat(g).T @ flat(z), "bias": flat(z).sum(0)}
+        b, n = ids.shape
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        share = (some.ravel() / max(some.sum(), 1)).astype(z.dtype)
+        z *= (share / z.sum(axis=1))[:, None]
+        z[np.arange(b * n), self.classes.take(targets.ravel())] -= share
+        d = {"out": g.T @ z, "bias": z.sum(0)}
         dg = z @ p["out"].T
-        du = (dg @ p["w2"].T) * (u > 0)
-        d |= {"w2": flat(u).T @ flat(dg), "w1": flat(h).T @ flat(du), "b1": flat(du).sum(0)}
-        dh = dg + du @ p["w1"].T
-        da = dh @ p["o"].T
-        d["o"] = flat(a).T @ flat(dh)
+        du = dg @ p["w2"].T
+        du *= u > 0
+        d |= {"w2": u.T @ dg, "w1": h.T @ du, "b1": du.sum(0)}
+        dg += du @ p["w1"].T
+        d["o"] = a.T @ dg
+        da = (dg @ p["o"].T).reshape(b, n, WIDTH)
         ds = da @ v.transpose(0, 2, 1)
         dv = s.transpose(0, 2, 1) @ da
-        ds = s * (ds - (ds * s).sum(axis=2, keepdims=True))
-        scale = np.float32(WIDTH**-0.5)
-        dq, dk = ds @ k * scale, ds.transpose(0, 2, 1) @ q
-        d |= {"q": flat(x).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv)}
-        dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-        d["pos"] = np.pad(dx.sum(0), ((0, WINDOW - n), (0, 0)))
-        d["rows"], at = np.unique(self.rows[ids], return_inverse=True)
-        d["e"] = np.zeros((len(d["rows"]), p["e"].shape[1]), p["e"].dtype)
-        np.add.at(d["e"], at.ravel(), flat(dx))
+        # the sum of s * ds over a row is that of a * da
+        ds -= (a.reshape(b, n, WIDTH) * da).sum(axis=2, keepdims=True)
+        ds *= s
+        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+        dq *= np.float32(WIDTH**-0.5)
+        dx = dg
+        for name, part in (("q", dq), ("k", dk), ("v", dv)):
+            part = part.reshape(b * n, WIDTH)
+            d[name] = x.T @ part
+            dx += part @ p[name].T
+        d["pos"] = np.pad(dx.reshape(b, n, WIDTH).sum(0), ((0, WINDOW - n), (0, 0)))
+        rows = self.rows[ids].ravel()
+        order = np.argsort(rows, kind="stable")
+        d["rows"], at = np.unique(rows[order], return_index=True)
+        d["e"] = np.add.reduceat(dx[order], at)
         return d
 
     def prior(self, often: np.ndarray) -> None:
@@ -422,7 +424,7 @@ def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learned(docs: DataFrame, network: Network, ranks: bytes, pattern: str) -> int:
-    """Train the network on the runs of docs; how many ids it was trained to tell."""
+    """Train the network on the whole texts of docs; how many ids it was trained to tell."""
     seen = 0
     for r in range(ROUNDS):
         sent = shared(docs.sparkSession, (network, ranks, pattern), lambda x: (x[0], Speller(*x[1:])))
