@@ -77,7 +77,7 @@ class WordEncoder:
         out = {}
         for i in range(0, len(parts), self.JOINED):
             own = parts[i : i + self.JOINED]
-            ids = np.array(self.tokenizer.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            ids = np.frombuffer(self._whole([" ".join(own)])[0], "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(own) or not len(cuts) or cuts[-1] != len(ids):
                 out.update(zip(own, self._whole(own), strict=True))
@@ -90,16 +90,22 @@ class WordEncoder:
         odd, split, parts = [], [], set()
         certain = self.plain and self.ends.any()
         for w in words:
+            plain = w.isascii()
+            if certain and plain and w.isalpha():
+                split.append((w, w.lower(), ""))
+                continue
             m = PLAIN.fullmatch(w) if certain else None
-            if m is None or not (w.isascii() or unicodedata.normalize("NFC", m[1]).lower().isalpha()):
+            if m is None or not (plain or unicodedata.normalize("NFC", m[1]).lower().isalpha()):
                 odd.append(w)
             else:
-                split.append(m)
-                parts.update(m.groups())
+                # ASCII letters have the ids of their lower case, so that most parts have been met alone
+                split.append((w, m[1].lower() if plain else m[1], m[2]))
+        parts.update([x[1] for x in split], [x[2] for x in split])
         parts.discard("")
-        ids = self._parts(list(parts))
+        ids = {x: own for x in parts if (own := self.known.get(x) or self.young.get(x))}
+        ids.update(self._parts(list(parts.difference(ids))))
         ids[""] = b""
-        out = {m[0]: ids[m[1]] + ids[m[2]] for m in split}
+        out = {w: ids[letters] + ids[signs] for w, letters, signs in split}
         for i in range(0, len(odd), 4096):
             out.update(zip(odd[i : i + 4096], self._whole(odd[i : i + 4096]), strict=True))
         return out
@@ -110,7 +116,9 @@ class WordEncoder:
             return self._whole([t or "" for t in texts])
         parted = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
         known, young = self.known, self.young
-        new = set().union(*parted).difference(known)
+        every = set().union(*parted)
+        held = {w: own for w in every if (own := known.get(w)) is not None}
+        new = every.difference(held)
         again = {w: young[w] for w in new if w in young}
         new = self._learned([w for w in new if w not in again])
         if self.known_bytes <= self.MOST_BYTES:
@@ -123,8 +131,10 @@ class WordEncoder:
             self.young_bytes = 0
         young.update(new)
         self.young_bytes += _bytes(new)
-        get, new[""] = known.get, b""  # an empty answer is looked up again
-        return [b"".join([get(w) or new[w] for w in words]) for words in parted]
+        held |= again
+        held |= new
+        get = held.__getitem__
+        return [b"".join(map(get, words)) for words in parted]
 
 
 def _bytes(held: dict[str, bytes]) -> int:
