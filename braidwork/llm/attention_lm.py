@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, raw_texts, shared, slices, table, written
+from .common import ids_and_texts, raw_texts, roomy, shared, slices, table, written
 
 WINDOW, KEEP, WIDTH, HIDDEN = 48, 12, 24, 32
 FREQUENT = 1 << 17
@@ -285,7 +285,6 @@ class Network:
         self.p = {"e": rng.normal(0, 0.3, (int(rows.max()) + 1, WIDTH)).astype(np.float32), "pos": rng.normal(0, 0.1, (WINDOW, WIDTH)).astype(np.float32), "q": normal(WIDTH, WIDTH), "k": normal(WIDTH, WIDTH), "v": normal(WIDTH, WIDTH), "o": normal(WIDTH, WIDTH), "w1": normal(WIDTH, HIDDEN), "b1": zeros(HIDDEN), "w2": normal(HIDDEN, WIDTH), "out": normal(WIDTH, n) * 0.3, "bias": zeros(n)}
         self.kinds = np.stack([np.arange(n) < begin, np.ones(n)], axis=1).astype(np.float32)
         self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
-        self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
     def forward(self, ids: np.ndarray) -> tuple:
         """Class logits at each position of each window (rows of ids, all >= 0), a row a position, and what backward needs."""
@@ -295,10 +294,10 @@ class Network:
         q, k, v = ((x @ p[name]).reshape(b, n, w) for name in ("q", "k", "v"))
         q *= np.float32(w**-0.5)
         s = q @ k.transpose(0, 2, 1)
-        s += self.mask[:n, :n]
-        s -= s.max(axis=2, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
+        # as in chances(): no shift by the largest
+        np.exp(np.minimum(s, 60, out=s), out=s)
+        s *= self.seen[:n, :n]
+        s /= (s.reshape(b * n, n) @ np.ones(n, s.dtype)).reshape(b, n, 1)
         a = (s @ v).reshape(b * n, w)
         h = a @ p["o"]
         h += x
@@ -349,12 +348,11 @@ class Network:
     def slopes(self, ids: np.ndarray, targets: np.ndarray, some: np.ndarray) -> dict:
         p, (z, (x, q, k, v, s, a, h, u, g)) = self.p, self.forward(ids)
         b, n = ids.shape
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
+        np.exp(np.minimum(z, 60, out=z), out=z)
         share = (some.ravel() / max(some.sum(), 1)).astype(z.dtype)
-        z *= (share / z.sum(axis=1))[:, None]
+        z *= (share / (z @ np.ones(z.shape[1], z.dtype)))[:, None]
         z[np.arange(b * n), self.classes.take(targets.ravel())] -= share
-        d = {"out": g.T @ z, "bias": z.sum(0)}
+        d = {"out": g.T @ z, "bias": np.ones(b * n, z.dtype) @ z}
         dg = z @ p["out"].T
         du = dg @ p["w2"].T
         du *= u > 0
@@ -370,15 +368,17 @@ class Network:
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
         dq *= np.float32(WIDTH**-0.5)
         dx = dg
-        for name, part in (("q", dq), ("k", dk), ("v", dv)):
-            part = part.reshape(b * n, WIDTH)
-            d[name] = x.T @ part
-            dx += part @ p[name].T
+        three = np.concatenate([dq, dk, dv], axis=2).reshape(b * n, 3 * WIDTH)
+        d["q"], d["k"], d["v"] = np.split(x.T @ three, 3, axis=1)
+        dx += three @ np.concatenate([p["q"], p["k"], p["v"]], axis=1).T
         d["pos"] = np.pad(dx.reshape(b, n, WIDTH).sum(0), ((0, WINDOW - n), (0, 0)))
-        rows = self.rows[ids].ravel()
-        order = np.argsort(rows, kind="stable")
-        d["rows"], at = np.unique(rows[order], return_index=True)
-        d["e"] = np.add.reduceat(dx[order], at)
+        rows = self.rows.take(ids.ravel())
+        # rows are few enough for 16 bits, which sort by counting
+        order = np.argsort(rows.astype(np.uint16) if len(p["e"]) < 1 << 16 else rows, kind="stable")
+        rows = rows.take(order)
+        at = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        d["rows"] = rows.take(at)
+        d["e"] = np.add.reduceat(dx.take(order, axis=0), at)
         return d
 
     def prior(self, often: np.ndarray) -> None:
@@ -406,10 +406,21 @@ class Adam:
             p = self.network.p[k]
             if k not in self.m:
                 self.m[k], self.v[k] = np.zeros_like(p), np.zeros_like(p)
-            at = met if k == "e" else slice(None)  # embeddings that were not met stay as they are
-            m, v = 0.9 * self.m[k][at] + 0.1 * g, 0.99 * self.v[k][at] + 0.01 * g * g
+            # embeddings that were not met stay as they are
+            take = (lambda x: x.take(met, axis=0)) if k == "e" else np.copy
+            at = met if k == "e" else slice(None)
+            m, v = take(self.m[k]), take(self.v[k])
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.99
+            v += 0.01 * g * g
             self.m[k][at], self.v[k][at] = m, v
-            p[at] -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+            v *= 1 / (1 - 0.99**t)
+            np.sqrt(v, out=v)
+            v += 1e-8
+            m *= rate / (1 - 0.9**t)
+            m /= v
+            p[at] = take(p) - m
 
 
 def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,6 +451,7 @@ def learned(docs: DataFrame, network: Network, ranks: bytes, pattern: str) -> in
 
 def _learner(sent: Callable, rate: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roomy()
         first, speller = sent()
         network, rng, n = deepcopy(first), np.random.default_rng(TaskContext.get().partitionId()), 0
         adam = Adam(network)
@@ -576,6 +588,7 @@ def scored(docs: DataFrame, training, ranks: bytes, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and one without rid, of the task's cells, at the end."""
+        roomy()
         scorer, speller, often, n_docs = sent()
         base, row, cells = TaskContext.get().partitionId() << 33, 0, np.zeros(RELS * LIFTS, np.int64)
         for whole in batches:
