@@ -41,6 +41,9 @@ CHUNKS = "shard int, chunk int, before long, n_ids long, kind string, doc_ids ar
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: The parts of a tokenizer file that make PLAIN certain.
 STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
+#: What TextEncoder leaves to WordEncoder, to the end of its stretch: all but such letters (U+0130 has no single lower case), digits, signs and spaces.
+ODD = re.compile("[^A-Za-z0-9 !-&(-/:-@\\[-`{-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][^ ]*")
+SIGNS, DIGITS = [c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'"], "0123456789"
 CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -137,6 +140,85 @@ class WordEncoder:
         return [b"".join(map(get, words)) for words in parted]
 
 
+def marked_ranks(json_text: str) -> dict[bytes, int] | None:
+    """The file's tokens as bytes, "\\n" for the end of a word, by id; None where merging by ids might give other ids than the file's merges.
+
+    Merging the neighbours whose joined bytes have the least id is the same as merging by the file's list if that list makes each of its
+    tokens, taken alone, one piece: two neighbours that join to a token are then what the list itself has left of that token."""
+    from tokenizers.models import BPE
+
+    made = json.loads(json_text)
+    model = made["model"]
+    end = model.get("end_of_word_suffix")
+    plain = WordEncoder(json_text).plain
+    if not plain or not end or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        return None
+    vocab, merges = model["vocab"], [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    joined = [a + b for a, b in merges]
+    order = [vocab.get(t, -1) for t in joined]
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    by_char = {chr(b): b for b in printed} | {chr(0x100 + i): b for i, b in enumerate(b for b in range(256) if b not in printed)}
+    first = [vocab.get(c + e, 1 << 31) for c in by_char for e in ("", end)]
+    if not order or order != sorted(set(order)) or max(first) >= order[0] or set(vocab.values()) != {*first, *order}:
+        return None
+    alone, ended = BPE(vocab, merges), BPE(vocab, merges, end_of_word_suffix=end)
+    for t in joined:
+        got = ended.tokenize(t[: -len(end)]) if t.endswith(end) else alone.tokenize(t)
+        if len(got) != 1 or got[0].value != t:
+            return None
+    out = {}
+    for t, i in vocab.items():
+        body = bytes(by_char[c] for c in (t[: -len(end)] if t.endswith(end) else t))
+        if b"\n" not in body:  # white space is never part of a word
+            out[body + b"\n" * t.endswith(end)] = i
+    return out
+
+
+class TextEncoder:
+    """Ids of texts, as WordEncoder gives them. Where marked_ranks() holds, the end of each pre-token is marked in the text itself, and a text is
+    merged in one pass, without a look-up of its words; stretches with other characters than those of PLAIN and digits go to WordEncoder."""
+
+    MARK = "\x01"
+
+    def __init__(self, json_text: str, ranks: dict[bytes, int] | None):
+        self.words, self.coder = WordEncoder(json_text), None
+        if ranks:
+            import tiktoken
+
+            # the special token is one that never occurs: an empty list of them would be looked for at each place
+            self.coder = tiktoken.Encoding("marked", pat_str="[^\n]+\n", mergeable_ranks=ranks, special_tokens={"\x02": max(ranks.values()) + 1})
+            self.mark = ranks[self.MARK.encode() + b"\n"]
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        if self.coder is None:
+            return self.words.ids(texts)
+        odd: list[str] = []
+        out = [self._ids(t, odd) if t else (b"", None) for t in texts]
+        rest = iter(self.words.ids(odd))
+        return [data if cuts is None else b"".join([x for a, b in zip([0, *cuts], cuts, strict=False) for x in (data[a : b - 4], next(rest))] + [data[cuts[-1] :]]) for data, cuts in out]
+
+    def _ids(self, text: str, odd: list[str]) -> tuple[bytes, list[int] | None]:
+        """Ids of a text, and the bytes after each place where those of the next of `odd` belong."""
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        n, at, parts = len(odd), 0, []
+        for m in ODD.finditer(text):
+            a = text.rfind(" ", at, m.start()) + 1 or at
+            parts += text[at:a], self.MARK
+            at = m.end()
+            odd.append(text[a:at])
+        text = "".join([*parts, text[at:]]).lower()
+        for c in SIGNS:
+            if c in text:
+                text = text.replace(c, f"\n{c}\n")
+        text = text.replace("\n\n", "")  # neighbouring signs are one pre-token, neighbouring digits are not
+        for c in DIGITS:
+            if c in text:
+                text = text.replace(c, f"\n{c}\n")
+        ids = self.coder.encode_to_numpy(text.replace(" ", "\n") + "\n", disallowed_special=()).astype("<u4", copy=False)
+        return ids.tobytes(), ((np.flatnonzero(ids == self.mark) + 1) * 4).tolist() if len(odd) > n else None
+
+
 def _bytes(held: dict[str, bytes]) -> int:
     return sum(map(len, held)) + sum(map(len, held.values())) + 64 * len(held)
 
@@ -163,7 +245,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end: int = END,
     """Encode docs (doc_id, text) and write the store at `path`. Ranges of doc_id are the shards."""
     spark = docs.sparkSession
     shards = max(partitions(spark), -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES))
-    coders = shared(spark, tokenizer_json, WordEncoder)
+    coders = shared(spark, (tokenizer_json, marked_ranks(tokenizer_json)), lambda x: TextEncoder(*x))
     tail = np.array([end], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
