@@ -10,8 +10,9 @@ one, ids add up to a proper chance of each word, and the model's chance of a wor
 attention, MIX being fitted by expectation maximisation.
 
 Word counts cover all training documents. The FREQUENT most frequent words, a bounded table, are broadcast; scores of all other words are
-finished by a shuffled join with the whole table. The network and the id classes are learned from every id of every training document; a text is
-read where it lies, and no window spans two. Training goes in ROUNDS rounds over disjoint parts of the documents: each task takes
+finished by a shuffled join with the whole table. Texts are spelt once, into a scratch table of ids, from which all else is learned and scored; ids
+tell words, as those that begin one hold its space. The network and the id classes are learned from every id of every training document;
+a text is read where it lies, and no window spans two. Training goes in ROUNDS rounds over disjoint parts of the documents: each task takes
 steps on all windows of its own texts, LEAST_STEPS at least (small inputs are gone through again), and the mean of all tasks' weights, by ids
 seen, begins the next round. MIX is fitted on every word of every training document, counted in cells of 1 / FINE nats.
 
@@ -39,13 +40,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ids_and_texts, raw_texts, roomy, shared, slices, table, written
+from .common import dropped, ids_and_texts, raw_texts, roomy, shared, slices, table, written
 
 WINDOW, KEEP, WIDTH, HIDDEN = 48, 12, 24, 32
 FREQUENT = 1 << 17
 ROUNDS, LEAST_STEPS, STEP, BATCH, STEP_BATCH, GROUPS = 3, 100, 4e-3, 64, 64, 16
 #: One in so many ids of a training document is learned from: all of them.
 SHARE = 1
+#: Bytes of stored ids that a worker turns into arrays at a time, as many ids as SLICE_BYTES of text give.
+IDS_BYTES = 3 << 20
 #: Longest word in the broadcast table, and bytes of a worker's cache of spelt words.
 FREQUENT_BYTES, CACHE_BYTES = 64, 40 << 20
 #: Cells of the mixture's statistics: by attention against unigram, from LEAST_REL nats on, and by lift, from LEAST_LIFT on.
@@ -69,11 +72,15 @@ class Speller:
         made = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, map(bytes.strip, ranks.splitlines())))}
         self.end, self.most, self.size = len(made), most, 0
         self.known: dict[bytes, bytes] = {}
+        self.stored = stored(self.end)
         self.coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=made, special_tokens={})
         self.leads = np.zeros(self.end + 1, bool)
         self.leads[[i for t, i in made.items() if t[:1] == b" "] + [self.end]] = True
         self.lengths = np.zeros(self.end + 1, np.int64)
         self.lengths[list(made.values())] = [len(t) for t in made]
+        self.tokens = [b""] * (self.end + 1)
+        for t, i in made.items():
+            self.tokens[i] = t
 
     def _alone(self, word: str) -> bytes:
         ids = self.coder.encode_ordinary(" " + word)
@@ -109,6 +116,11 @@ class Speller:
         return [[*map(get, words)] for words in texts]
 
 
+def stored(end: int) -> str:
+    """Type of the ids of a table, up to that of the end."""
+    return "<u2" if end < 1 << 16 else "<u4"
+
+
 def tokens_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
@@ -182,6 +194,26 @@ def runs_of(keys: list[int], texts: list[bytes | None], speller: Speller) -> lis
     return [np.frombuffer(b"".join([end, *spelt, end]), "<i4") for spelt in speller.all_spelt([tokens_of(t) for _, t in zip(keys, texts, strict=True)])]
 
 
+def encoded(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """docs (doc_id, learn where there is one) with ids, as runs_of() gives them, in place of text."""
+    sent = shared(docs.sparkSession, (ranks, pattern), lambda x: Speller(*x))
+    kept = docs.select(*(c for c in ("doc_id", "learn") if c in docs.columns), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = sent()
+        for whole in batches:
+            for batch in slices(whole):
+                runs = runs_of(batch.column("doc_id").to_pylist(), raw_texts(batch), speller)
+                ids = pa.array([x.astype(speller.stored).tobytes() for x in runs], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*batch.schema.names[:-1], "ids"])
+
+    return kept.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in kept.drop("text").dtypes) + ", ids binary")
+
+
+def runs_in(batch: pa.RecordBatch, end: int) -> list[np.ndarray]:
+    return [np.frombuffer(x, stored(end)).astype(np.int32) for x in batch.column("ids").to_pylist()]
+
+
 def all_windows(ids: np.ndarray) -> np.ndarray:
     """(n, WINDOW + 1) ids: all of a text, each after the first once as a target; -1 pads."""
     n = -(-(len(ids) - 1) // WINDOW)
@@ -212,19 +244,19 @@ def parted(texts: list[np.ndarray]) -> np.ndarray:
 
 
 def contexts(docs: DataFrame, top: np.ndarray, ranks: bytes, pattern: str) -> np.ndarray:
-    """How often each of the top ids has each of the most frequent ids before it, next or near, in the texts of all documents."""
-    sent = shared(docs.sparkSession, (ranks, pattern), lambda x: Speller(*x))
-    shape = len(top), 2 * min(len(top), 256) + 1
+    """How often each of the top ids has each of the most frequent ids before it, next or near, in the texts (or encoded() texts) of all docs."""
+    docs = encoded(docs, ranks, pattern) if "text" in docs.columns else docs
+    shape, end = (len(top), 2 * min(len(top), 256) + 1), Speller(ranks, pattern).end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller, found = sent(), np.zeros(shape, np.int64)
+        found = np.zeros(shape, np.int64)
         for whole in batches:
-            for batch in slices(whole):
-                add_contexts(found, parted(runs_of(batch.column("doc_id").to_pylist(), raw_texts(batch), speller)), top, speller.end + 1)
+            for batch in slices(whole, "ids", IDS_BYTES):
+                add_contexts(found, parted(runs_in(batch, end)), top, end + 1)
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(found.ravel()[some], pa.int64())], names=["cell", "c"])
 
-    cells = docs.select("doc_id", "text").mapInArrow(run, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()
+    cells = docs.select("ids").mapInArrow(run, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()
     out = np.zeros(shape)
     out.ravel()[cells.column("cell").to_numpy()] = cells.column("c").to_numpy()
     return out
@@ -435,10 +467,11 @@ def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learned(docs: DataFrame, network: Network, ranks: bytes, pattern: str) -> int:
-    """Train the network on the whole texts of docs; how many ids it was trained to tell."""
+    """Train the network on the whole texts (or encoded() texts) of docs; how many ids it was trained to tell."""
+    docs = encoded(docs, ranks, pattern) if "text" in docs.columns else docs
     seen = 0
     for r in range(ROUNDS):
-        sent = shared(docs.sparkSession, (network, ranks, pattern), lambda x: (x[0], Speller(*x[1:])))
+        sent = shared(docs.sparkSession, network)
         run = _learner(sent, STEP / 3**r)
         own = docs.where(F.pmod(F.xxhash64(F.lit("round"), "doc_id"), F.lit(ROUNDS)) == r)
         # as many sums reach the driver as there are groups, however many tasks there are
@@ -452,8 +485,7 @@ def learned(docs: DataFrame, network: Network, ranks: bytes, pattern: str) -> in
 def _learner(sent: Callable, rate: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roomy()
-        first, speller = sent()
-        network, rng, n = deepcopy(first), np.random.default_rng(TaskContext.get().partitionId()), 0
+        network, rng, n = deepcopy(sent()), np.random.default_rng(TaskContext.get().partitionId()), 0
         adam = Adam(network)
 
         def learn(windows: np.ndarray) -> int:
@@ -463,8 +495,8 @@ def _learner(sent: Callable, rate: float) -> Callable:
 
         again: list[np.ndarray] = []
         for whole in batches:
-            for batch in slices(whole):
-                windows = np.concatenate([np.zeros((0, WINDOW + 1), np.int32), *map(all_windows, runs_of(batch.column("doc_id").to_pylist(), raw_texts(batch), speller))])
+            for batch in slices(whole, "ids", IDS_BYTES):
+                windows = np.concatenate([np.zeros((0, WINDOW + 1), np.int32), *map(all_windows, runs_in(batch, len(network.classes) - 1))])
                 windows = windows[rng.permutation(len(windows))]
                 for i in range(0, len(windows), STEP_BATCH):
                     n += learn(windows[i : i + STEP_BATCH])
@@ -511,7 +543,10 @@ class Scorer:
         """For each text, given as ids of each word: (log chances, lifts of the class) of its words, then of its end."""
         mark = np.array([end], "<u4").tobytes()
         ids = np.frombuffer(b"".join(x for words in spelt for x in (mark, *words, mark)), "<u4").astype(np.int64)
-        counts = [np.array([len(w) // 4 for w in words] + [1], np.int64) for words in spelt]
+        return self.of_ids(ids, [np.array([len(w) // 4 for w in words] + [1], np.int64) for words in spelt])
+
+    def of_ids(self, ids: np.ndarray, counts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """words() of texts laid end to end, each between two ends; counts: by text, how many ids each word and the end after them have."""
         lengths = np.array([c.sum() for c in counts])
         kind, begins = np.zeros(len(ids)), np.zeros(len(ids))
         for place, some, skip in windowed(ids, lengths):
@@ -552,6 +587,7 @@ def shares_of(cells: np.ndarray, often: np.ndarray) -> np.ndarray:
 
 
 def fitted(docs: DataFrame, counts: DataFrame, ranks: bytes, pattern: str) -> Scorer:
+    """docs: training documents, or encoded() ones."""
     speller = Speller(ranks, pattern)
     often, first = id_counts(counts, ranks, pattern)
     top = top_ids(often)
@@ -565,44 +601,63 @@ def fitted(docs: DataFrame, counts: DataFrame, ranks: bytes, pattern: str) -> Sc
 
 
 def _ready(x: tuple) -> tuple:
+    """The scorer, bytes of ids, which of them begin a word, counts by the stored ids of a word."""
     scorer, ranks, pattern, often, c, n_docs = x
     scorer.network.ready()
-    return scorer, Speller(ranks, pattern), dict(zip(often.encode().split(b"\n"), c.tolist(), strict=True)) if len(c) else {}, n_docs
+    speller = Speller(ranks, pattern, most=0)
+    spelt = speller.spelt(often.encode().split(b"\n")) if len(c) else []
+    often = {np.frombuffer(w, "<u4").astype(speller.stored).tobytes(): n for w, n in zip(spelt, c.tolist(), strict=True)}
+    return scorer, speller.tokens, speller.leads, often, n_docs
+
+
+def words_in(data: bytes, flat: np.ndarray, sizes: list[int], leads: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """For each text of stored ids, laid end to end: where its words and its end begin, and the ids of its words."""
+    begins, width = np.flatnonzero(leads.take(flat)), flat.itemsize
+    of_texts = np.searchsorted(begins, np.cumsum([0, *sizes])).tolist()
+    for a, b in zip(of_texts, of_texts[1:], strict=False):
+        starts = begins[a + 1 : b]
+        at = (starts * width).tolist()
+        yield starts, [data[i:j] for i, j in zip(at, at[1:], strict=False)]
 
 
 def scored(docs: DataFrame, training, ranks: bytes, pattern: str) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text); training: a condition on doc_id."""
     spark = docs.sparkSession
-    known = docs.where(training)
-    counts = written(word_counts(known), "word-counts")
+    counts = written(word_counts(docs.where(training)), "word-counts")
     t = counts.agg(F.sum("c"), F.count("*"), F.max(F.when(F.col("word") == END_WORD, F.col("c")))).first()
     n, kinds, n_docs = t[0] or 0, t[1], t[2] or 0
-    scorer = fitted(known, counts, ranks, pattern)
+    flagged = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
+    spelt = written(encoded(flagged, ranks, pattern), "lm-ids")
+    scorer = fitted(spelt.where("learn"), counts, ranks, pattern)
     norm = float(np.log10(n + kinds + 1))
     top = counts.where((F.col("word") != END_WORD) & (F.octet_length("word") <= FREQUENT_BYTES)).orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
     sent = shared(spark, (scorer, ranks, pattern, "\n".join(top.column("word").to_pylist()), top.column("c").to_numpy(), n_docs), _ready)
 
-    word = pa.struct([("word", pa.string()), ("att", pa.float64()), ("lift", pa.float64())])
+    word = pa.struct([("word", pa.string()), ("att", pa.float32()), ("lift", pa.float32())])
     pairs = pa.list_(pa.struct([("cell", pa.int32()), ("n", pa.int64())]))
     names = ["rid", "doc_id", "n_tokens", "known", "base", "near", "rare", "learn", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and one without rid, of the task's cells, at the end."""
         roomy()
-        scorer, speller, often, n_docs = sent()
+        scorer, tokens, leads, often, n_docs = sent()
+        kind = stored(len(tokens) - 1)
         base, row, cells = TaskContext.get().partitionId() << 33, 0, np.zeros(RELS * LIFTS, np.int64)
         for whole in batches:
-            for batch in slices(whole, most=1 << 20):
-                tokens = [tokens_of(x) for x in raw_texts(batch)]
-                chances = scorer.words(speller.all_spelt(tokens), speller.end)
+            for batch in slices(whole, "ids", IDS_BYTES // 4):
+                texts = batch.column("ids").to_pylist()
+                data = b"".join(texts)
+                flat = np.frombuffer(data, kind)
+                found = [*words_in(data, flat, [len(x) // flat.itemsize for x in texts], leads)]
+                chances = scorer.of_ids(flat.astype(np.int64), [np.append(np.diff(starts), 1) for starts, _ in found])
                 out, rare_words, rare_att, rare_lift, ends = [], [], [], [], [0]
-                for words, (att, lift), learn in zip(tokens, chances, batch.column("learn").to_pylist(), strict=True):
+                for (_, words), (att, lift), learn in zip(found, chances, batch.column("learn").to_pylist(), strict=True):
                     c = np.fromiter(map(often.get, words, repeat(-1)), np.int64, len(words))
                     rare = np.flatnonzero(c < 0)
                     c = np.append(c, n_docs)
                     some = c >= 0
                     uni = np.log10(c[some] + 1.0) - norm
-                    rare_words.append([words[i].decode("utf-8", "replace") for i in rare.tolist()])
+                    rare_words.append([b"".join([tokens[k] for k in np.frombuffer(words[i], kind).tolist()])[1:].decode("utf-8", "replace") for i in rare.tolist()])
                     rare_att.append(att[rare])
                     rare_lift.append(lift[rare])
                     ends.append(ends[-1] + len(rare))
@@ -613,22 +668,23 @@ def scored(docs: DataFrame, training, ranks: bytes, pattern: str) -> DataFrame:
                     out.append((base + row, len(words) + 1, int((c > 0).sum()), float(uni.sum()), np.stack([rel, lift], axis=1).astype("<f4").tobytes()))
                     row += 1
                 cols = [*zip(*out, strict=True)]
-                rest = pa.StructArray.from_arrays([pa.array(chain.from_iterable(rare_words), pa.string()), pa.array(np.concatenate(rare_att)), pa.array(np.concatenate(rare_lift))], ["word", "att", "lift"])
+                rest = pa.StructArray.from_arrays([pa.array(chain.from_iterable(rare_words), pa.string()), *(pa.array(np.concatenate(x).astype(np.float32)) for x in (rare_att, rare_lift))], ["word", "att", "lift"])
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), batch.column("doc_id"), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3]), pa.array(cols[4], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest), batch.column("learn"), pa.nulls(len(cols[0]), pairs)], names=names)
         some = np.flatnonzero(cells)
         if len(some):
             last = pa.StructArray.from_arrays([pa.array(some, pa.int32()), pa.array(cells[some], pa.int64())], ["cell", "n"])
             yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(word), pa.bool_())), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), last)], names=names)
 
-    rare, cells = "array<struct<word:string,att:double,lift:double>>", "array<struct<cell:int,n:long>>"
-    flagged = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
-    part = written(flagged.mapInArrow(run, f"rid long, doc_id long, n_tokens long, known long, base double, near binary, rare {rare}, learn boolean, cells {cells}"), "lm-parts")
+    rare, cells = "array<struct<word:string,att:float,lift:float>>", "array<struct<cell:int,n:long>>"
+    part = written(spelt.mapInArrow(run, f"rid long, doc_id long, n_tokens long, known long, base double, near binary, rare {rare}, learn boolean, cells {cells}"), "lm-parts")
+    dropped(spelt)
     c = F.coalesce(F.col("c"), F.lit(0))
     uni, loo = F.log10(c + 1.0) - norm, F.log(F.greatest(c, F.lit(1)).cast("double")) - norm * LN10
+    att, lift = F.col("att").cast("double"), F.col("lift").cast("double")
     within = lambda x, least, n: F.least(F.greatest(F.floor((x - least) * FINE), F.lit(0)), F.lit(n - 1))
-    cell = within(F.col("att") - loo, LEAST_REL, RELS) * LIFTS + within(F.col("lift"), LEAST_LIFT, LIFTS)
+    cell = within(att - loo, LEAST_REL, RELS) * LIFTS + within(lift, LEAST_LIFT, LIFTS)
     rest = part.where("rid IS NOT NULL").select("rid", "learn", F.explode("rare").alias("r")).select("rid", "learn", "r.*").join(counts, "word", "left")
-    rest = written(rest.select("rid", (c > 0).cast("long").alias("known"), uni.alias("uni"), (F.col("att") - uni * LN10).cast("float").alias("rel"), F.col("lift").cast("float").alias("lift"), F.when(F.col("learn"), cell.cast("int")).alias("cell")), "lm-rare")
+    rest = written(rest.select("rid", (c > 0).cast("long").alias("known"), uni.alias("uni"), (att - uni * LN10).cast("float").alias("rel"), "lift", F.when(F.col("learn"), cell.cast("int")).alias("cell")), "lm-rare")
     found = part.where("cells IS NOT NULL").select(F.explode("cells").alias("x")).select("x.*").unionByName(rest.where("cell IS NOT NULL").select("cell", F.lit(1).cast("long").alias("n")))
     found = found.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
     shares = shares_of(found.column("cell").to_numpy(), found.column("n").to_numpy())

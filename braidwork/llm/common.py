@@ -48,6 +48,14 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that written() gave, once nothing will read it."""
+    jvm = df.sparkSession._jvm
+    for folder in {x.rpartition("/")[0] for x in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared(spark: SparkSession, value: Any, make: Callable[[Any], Any] = lambda x: x) -> Callable[[], Any]:
     """make(value) for tasks: made once in each worker process, which keeps it from task to task with whatever it has learned.
 
