@@ -10,7 +10,7 @@ one, ids add up to a proper chance of each word, and the model's chance of a wor
 attention, MIX being fitted by expectation maximisation.
 
 Word counts cover all training documents. The FREQUENT most frequent words, a bounded table, are broadcast; scores of all other words are
-finished by a shuffled join with the whole table. Texts are spelt once, into a scratch table of ids, from which all else is learned and scored; ids
+finished by a shuffled join with the whole table. Texts are spelt once, into a scratch table of ids, from which all else is counted, learned and scored; ids
 tell words, as those that begin one hold its space. The network and the id classes are learned from every id of every training document;
 a text is read where it lies, and no window spans two. Training goes in ROUNDS rounds over disjoint parts of the documents: each task takes
 steps on all windows of its own texts, LEAST_STEPS at least (small inputs are gone through again), and the mean of all tasks' weights, by ids
@@ -32,7 +32,7 @@ import struct
 from collections import Counter
 from collections.abc import Callable, Iterator
 from copy import deepcopy
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +40,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropped, ids_and_texts, raw_texts, roomy, shared, slices, table, written
+from .common import dropped, ids_and_texts, mixed, raw_texts, roomy, shared, slices, table, written
 
 WINDOW, KEEP, WIDTH, HIDDEN = 48, 12, 24, 32
 FREQUENT = 1 << 17
 ROUNDS, LEAST_STEPS, STEP, BATCH, STEP_BATCH, GROUPS = 3, 100, 4e-3, 64, 64, 16
 #: One in so many ids of a training document is learned from: all of them.
 SHARE = 1
+#: Text bytes that are cut into words and spelt at a time: few, so that words are still near when they are looked up.
+WORDS_BYTES = 128 << 10
 #: Bytes of stored ids that a worker turns into arrays at a time, as many ids as SLICE_BYTES of text give.
 IDS_BYTES = 3 << 20
 #: Longest word in the broadcast table, and bytes of a worker's cache of spelt words.
@@ -61,7 +63,7 @@ FOLDS, HELD = 7, 2
 
 
 class Speller:
-    """Word bytes -> ids, little-endian unsigned 32-bit; keeps what it has met, up to a bound of bytes.
+    """Word bytes -> ids, little-endian unsigned 32-bit; keeps what it has met, up to a bound of bytes, and then what it met first.
 
     Words not met before are encoded many at a time, in one text: each begins with a space, where the pattern always cuts, but for white space
     beyond ASCII, so words that hold such are encoded alone."""
@@ -88,18 +90,26 @@ class Speller:
 
     def _learn(self, words: list[bytes]) -> None:
         if self.size > self.most:
+            # frequent words are met early: the first half stays
+            kept = [*islice(self.known.items(), len(self.known) // 2)]
             self.known.clear()
-            self.size = 0
+            self.known.update(kept)
+            self.size = sum(len(w) for w, _ in kept) * 2 + 150 * len(kept)
         for i in range(0, len(words), 4096):
             own = words[i : i + 4096]
-            texts = [w.decode("utf-8", "replace") for w in own]
-            plain = [k for k, t in enumerate(texts) if t.isascii() or not ODD_SPACE.search(t)]
-            self.known.update((own[k], self._alone(texts[k])) for k in set(range(len(own))).difference(plain))
-            ids = np.array(self.coder.encode_ordinary("".join([" " + texts[k] for k in plain])), "<u4")
-            ends = np.cumsum([len(texts[k].encode()) + 1 for k in plain])
-            at = (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * 4
-            data, at = ids.tobytes(), at.tolist()
-            self.known.update(zip([own[k] for k in plain], [data[a:b] for a, b in zip([0, *at], at, strict=False)], strict=True))
+            whole = b" ".join([b"", *own]).decode("utf-8", "replace")
+            if ODD_SPACE.search(whole) or "\ufffd" in whole:
+                texts = [w.decode("utf-8", "replace") for w in own]
+                plain = [k for k, t in enumerate(texts) if t.isascii() or not ODD_SPACE.search(t)]
+                self.known.update((own[k], self._alone(texts[k])) for k in set(range(len(own))).difference(plain))
+                own, whole = [own[k] for k in plain], "".join([" " + texts[k] for k in plain])
+                sizes = [len(texts[k].encode()) for k in plain]
+            else:
+                sizes = [*map(len, own)]
+            ids = self.coder.encode_to_numpy(whole, disallowed_special=()).astype("<u4", copy=False)
+            at = ((np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(np.array(sizes, np.int64) + 1)) + 1) * 4).tolist()
+            data = ids.tobytes()
+            self.known.update(zip(own, [data[a:b] for a, b in zip([0, *at], at, strict=False)], strict=True))
         self.size += sum(map(len, words)) * 2 + 150 * len(words)
 
     def spelt(self, words: list[bytes]) -> list[bytes]:
@@ -107,13 +117,16 @@ class Speller:
 
     def all_spelt(self, texts: list[list[bytes]]) -> list[list[bytes]]:
         """spelt() of each text; all that is new at once."""
-        new = [*set().union(*texts).difference(self.known)]
-        if self.size > self.most:
-            new = [*set().union(*texts)]
+        get = self.known.get
+        found = [[*map(get, words)] for words in texts]
+        misses = [[i for i, ids in enumerate(spelt) if ids is None] for spelt in found]
+        new = {words[i] for words, some in zip(texts, misses, strict=True) for i in some}
         if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [[*map(get, words)] for words in texts]
+            self._learn([*new])
+            for words, spelt, some in zip(texts, found, misses, strict=True):
+                for i in some:
+                    spelt[i] = self.known[words[i]]
+        return found
 
 
 def stored(end: int) -> str:
@@ -129,7 +142,7 @@ def tokens_of(text: bytes | None) -> list[bytes]:
 
 
 def word_counts(docs: DataFrame, most: int = 400_000) -> DataFrame:
-    """word, c over all docs; END_WORD stands for the end of each."""
+    """word, c over all docs, from their texts; END_WORD stands for the end of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -156,6 +169,95 @@ def word_counts(docs: DataFrame, most: int = 400_000) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def starts_in(flat: np.ndarray, sizes: list[int], leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where first ends, words and last ends begin in texts laid end to end, and how many of them each text has."""
+    begins = np.flatnonzero(leads.take(flat))
+    return begins, np.diff(np.searchsorted(begins, np.cumsum([0, *sizes])))
+
+
+def packed(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit keys of words flat[starts : starts + sizes]: ids, each and one more so that none is 0, side by side."""
+    keys, shift = np.zeros(len(starts), np.uint64), np.uint64(8 * flat.itemsize)
+    for k in range(8 // flat.itemsize - 1, -1, -1):
+        keys <<= shift
+        keys += np.where(sizes > k, flat.take(starts + k, mode="clip").astype(np.uint64) + np.uint64(1), np.uint64(0))
+    return keys
+
+
+def unpacked(keys: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words of packed(), laid end to end, and how many each has."""
+    ids = keys.astype("<u8").view(kind).reshape(len(keys), 8 // np.dtype(kind).itemsize)
+    return ids[ids > 0] - 1, (ids > 0).sum(axis=1)
+
+
+def texts_of_ids(speller: Speller) -> pa.Array:
+    """Bytes of ids, without the space of those that begin a word."""
+    return pa.array([t[1:] if lead else t for t, lead in zip(speller.tokens, speller.leads.tolist(), strict=True)], pa.binary())
+
+
+def joined(tokens: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Words, so many ids each; tokens: texts_of_ids()."""
+    if not len(sizes):
+        return pa.array([], pa.string())
+    parts = tokens.take(pa.array(ids, pa.int64()))
+    ends = np.frombuffer(parts.buffers()[1], "<i4", len(parts) + 1, 4 * parts.offset)
+    return pa.Array.from_buffers(pa.string(), len(sizes), [None, pa.py_buffer(ends[np.append(0, np.cumsum(sizes))].tobytes()), parts.buffers()[2]])
+
+
+def counted(docs: DataFrame, ranks: bytes, pattern: str, most: int = 400_000) -> DataFrame:
+    """word_counts() of encoded() texts: words that a 64-bit key has room for are sorted and counted by it, longer ones in a dictionary."""
+    sent = shared(docs.sparkSession, (ranks, pattern), lambda x: (lambda s: (texts_of_ids(s), s.leads, s.end))(Speller(*x, most=0)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, leads, end = sent()
+        kind, ends, size, held = stored(end), 0, 0, 0
+        keys, often, long = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], Counter()
+
+        def merged() -> None:
+            x, c = np.concatenate(keys), np.concatenate(often)
+            order = np.argsort(x, kind="stable")
+            x = x[order]
+            at = np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
+            keys[:], often[:] = [x[at]], [np.add.reduceat(c[order], at) if len(at) else c]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            merged()
+            ids = np.frombuffer(b"".join(long), kind)
+            for (of_words, sizes), c in ((unpacked(keys[0], kind), often[0]), ((ids, np.array([len(w) // ids.itemsize for w in long], np.int64)), np.fromiter(long.values(), np.int64, len(long)))):
+                yield pa.RecordBatch.from_arrays([joined(tokens, of_words, sizes), pa.array(c, pa.int64())], names=["word", "c"])
+            keys[:], often[:] = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            long.clear()
+
+        for whole in batches:
+            for batch in slices(whole, "ids", IDS_BYTES):
+                texts = batch.column("ids").to_pylist()
+                data = b"".join(texts)
+                flat = np.frombuffer(data, kind)
+                starts, _ = starts_in(flat, [len(x) // flat.itemsize for x in texts], leads)
+                sizes = np.diff(starts, append=len(flat))
+                words = flat[starts] != end
+                ends, size, starts, sizes = ends + len(texts), size + len(data), starts[words], sizes[words]
+                short = sizes <= 8 // flat.itemsize
+                x, c = np.unique(packed(flat, starts[short], sizes[short]), return_counts=True)
+                keys.append(x)
+                often.append(c)
+                starts, sizes = starts[~short] * flat.itemsize, sizes[~short] * flat.itemsize
+                long.update([data[i:j] for i, j in zip(starts.tolist(), (starts + sizes).tolist(), strict=True)])
+                held += len(x)
+                if held > 2 * most:
+                    merged()
+                    held = len(keys[0])
+                # never more bytes than this in the words held
+                if held + len(long) > 2 * most or size > 128 << 20:
+                    yield from flush()
+                    size = held = 0
+        yield from flush()
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([END_WORD]), pa.array([ends], pa.int64())], names=["word", "c"])
+
+    return docs.select("ids").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
 def id_counts(counts: DataFrame, ranks: bytes, pattern: str) -> np.ndarray:
     """By subword id, as long as the vocabulary: how often it occurs in the training documents, and how often, with one more for each
     distinct word, it begins a word."""
@@ -203,7 +305,7 @@ def encoded(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
         speller = sent()
         for whole in batches:
             for batch in slices(whole):
-                runs = runs_of(batch.column("doc_id").to_pylist(), raw_texts(batch), speller)
+                runs = chain.from_iterable(runs_of(part.column("doc_id").to_pylist(), raw_texts(part), speller) for part in slices(batch, most=WORDS_BYTES))
                 ids = pa.array([x.astype(speller.stored).tobytes() for x in runs], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*batch.schema.names[:-1], "ids"])
 
@@ -308,6 +410,19 @@ def classes_by(top: np.ndarray, context: np.ndarray, leads: np.ndarray) -> tuple
     return own, begin, row
 
 
+def exponentials(x: np.ndarray) -> None:
+    """In place, of attention's scores. They are small, and need no shift by their largest, only a bound in case."""
+    if not x.max() <= 60:
+        np.minimum(x, 60, out=x)
+    np.exp(x, out=x)
+
+
+def unshifted(z: np.ndarray) -> None:
+    """Logits, in place, moved by row only where their exponentials would grow too large."""
+    if not z.max() <= 60:
+        z -= z.max(axis=1, keepdims=True)
+
+
 class Network:
     def __init__(self, classes: np.ndarray, begin: int, rows: np.ndarray):
         rng = np.random.default_rng(11)
@@ -318,100 +433,115 @@ class Network:
         self.kinds = np.stack([np.arange(n) < begin, np.ones(n)], axis=1).astype(np.float32)
         self.seen = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
-    def forward(self, ids: np.ndarray) -> tuple:
-        """Class logits at each position of each window (rows of ids, all >= 0), a row a position, and what backward needs."""
-        p, (b, n), w = self.p, ids.shape, WIDTH
-        x = p["e"].take(self.rows.take(ids.ravel()), axis=0)
-        x.reshape(b, n, w)[:] += p["pos"][:n]
-        q, k, v = ((x @ p[name]).reshape(b, n, w) for name in ("q", "k", "v"))
-        q *= np.float32(w**-0.5)
-        s = q @ k.transpose(0, 2, 1)
-        # as in chances(): no shift by the largest
-        np.exp(np.minimum(s, 60, out=s), out=s)
-        s *= self.seen[:n, :n]
-        s /= (s.reshape(b * n, n) @ np.ones(n, s.dtype)).reshape(b, n, 1)
-        a = (s @ v).reshape(b * n, w)
-        h = a @ p["o"]
-        h += x
-        u = h @ p["w1"]
-        u += p["b1"]
-        np.maximum(u, 0, out=u)
-        g = u @ p["w2"]
-        g += h
-        z = g @ p["out"]
-        z += p["bias"]
-        return z, (x, q, k, v, s, a, h, u, g)
+    def merged(self) -> tuple[np.ndarray, ...]:
+        """Of p: query and key in one matrix, value and output in one, out with columns of zeros up to whole vectors of 16, and the
+        exponentials of bias, 0 for those columns: chances are the exponentials of g @ out by these, so that no pass adds a bias."""
+        p, n = self.p, self.p["out"].shape[1]
+        out = np.zeros((WIDTH + 1, n + -n % 16), p["out"].dtype)
+        out[:-1, :n], out[-1, :n] = p["out"], np.exp(p["bias"])
+        return p["q"] @ p["k"].T * out.dtype.type(WIDTH**-0.5), p["v"] @ p["o"], out[:-1], out[-1]
 
     def ready(self) -> "Network":
-        """Tables for chances(): input, query, key and value of each embedding and of each place, so that scoring only adds them."""
-        p = self.p
-        three = np.concatenate([p["q"] * np.float32(WIDTH**-0.5), p["k"], p["v"]], axis=1)
-        ones = lambda n, x: np.full((n, 1), x, np.float32)
-        self.by_id = np.concatenate([p["e"], p["e"] @ three, ones(len(p["e"]), 0)], axis=1)
-        self.by_place = np.concatenate([p["pos"], p["pos"] @ three, ones(WINDOW, 1)], axis=1)
+        """Tables for chances(): each embedding and each place as query, key and value, so that scoring only adds them."""
+        p, (ask, give, self.out, self.usual) = self.p, self.merged()
+        self.by_id, self.by_place = ([np.ascontiguousarray(x @ m) for m in (ask, np.eye(WIDTH, dtype=ask.dtype), give)] for x in (p["e"], p["pos"]))
+        self.sums = np.pad(self.kinds, ((0, len(self.usual) - len(self.kinds)), (0, 0))) * self.usual[:, None]
         return self
 
+    def hidden(self, h: np.ndarray, n: int) -> np.ndarray:
+        """The hidden layer; n divides the rows of h."""
+        u = h @ self.p["w1"]
+        # rows of n positions at a time, as short ones and single numbers take long
+        rows = u.reshape(-1, n * HIDDEN)
+        rows += np.tile(self.p["b1"], n)
+        np.maximum(rows, np.zeros(n * HIDDEN, u.dtype), out=rows)
+        return u
+
     def chances(self, ids: np.ndarray, targets: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray]:
         """Natural logs at positions skip..: of the target's class, and of a class that begins a word. After ready()."""
         p, (b, n), w = self.p, ids.shape, WIDTH
-        m = n - skip
-        x = self.by_id.take(self.rows.take(ids.ravel()), axis=0).reshape(b, n, -1)
-        x += self.by_place[:n]
-        s = x[:, skip:, w : 2 * w] @ x[:, :, 2 * w : 3 * w].transpose(0, 2, 1)
-        # scores are small: their exponentials need no shift, and a column of ones, kept with the values, sums them
-        np.exp(np.minimum(s, 60, out=s), out=s)
+        m, rows = n - skip, self.rows.take(ids)
+        query, key, value = (t.take(at, axis=0) for t, at in zip(self.by_id, (rows[:, skip:], rows, rows), strict=True))
+        for x, t, k in zip((query, key, value), self.by_place, (skip, 0, 0), strict=True):
+            x.reshape(b, -1)[:] += t[k:n].ravel()
+        s = query @ key.transpose(0, 2, 1)
+        exponentials(s)
         s *= self.seen[skip:n, :n]
-        a = (s @ x[:, :, 3 * w :]).reshape(b * m, w + 1)
-        h = (a[:, :w] / a[:, w:]) @ p["o"]
-        h += x[:, skip:, :w].reshape(b * m, w)
-        u = h @ p["w1"]
-        u += p["b1"]
-        np.maximum(u, 0, out=u)
-        h += u @ p["w2"]
-        z = h @ p["out"]
-        z += p["bias"]
-        np.minimum(z, 60, out=z)
-        own = z[np.arange(b * m), self.classes.take(targets.ravel())]
+        h = (s @ value).reshape(b * m, w)
+        h /= (s.reshape(b * m, n) @ np.ones(n, s.dtype))[:, None]
+        h += key[:, skip:].reshape(b * m, w)
+        h += self.hidden(h, m) @ p["w2"]
+        z = h @ self.out
+        unshifted(z)
+        classes = self.classes.take(targets.ravel())
+        own = z.ravel().take(np.arange(0, z.size, z.shape[1]) + classes) + p["bias"].take(classes)
         np.exp(z, out=z)
-        sums = z @ self.kinds
-        log = np.log(sums[:, 1])
-        return (own - log).reshape(b, m), (np.log(np.maximum(sums[:, 0], 1e-30)) - log).reshape(b, m)
+        sums = np.log(np.maximum(z @ self.sums, 1e-30))
+        return (own - sums[:, 1]).reshape(b, m), (sums[:, 0] - sums[:, 1]).reshape(b, m)
 
     def slopes(self, ids: np.ndarray, targets: np.ndarray, some: np.ndarray) -> dict:
-        p, (z, (x, q, k, v, s, a, h, u, g)) = self.p, self.forward(ids)
-        b, n = ids.shape
-        np.exp(np.minimum(z, 60, out=z), out=z)
-        share = (some.ravel() / max(some.sum(), 1)).astype(z.dtype)
-        z *= (share / (z @ np.ones(z.shape[1], z.dtype)))[:, None]
-        z[np.arange(b * n), self.classes.take(targets.ravel())] -= share
-        d = {"out": g.T @ z, "bias": np.ones(b * n, z.dtype) @ z}
-        dg = z @ p["out"].T
-        du = dg @ p["w2"].T
-        du *= u > 0
-        d |= {"w2": u.T @ dg, "w1": h.T @ du, "b1": du.sum(0)}
-        dg += du @ p["w1"].T
-        d["o"] = a.T @ dg
-        da = (dg @ p["o"].T).reshape(b, n, WIDTH)
-        ds = da @ v.transpose(0, 2, 1)
-        dv = s.transpose(0, 2, 1) @ da
-        # the sum of s * ds over a row is that of a * da
-        ds -= (a.reshape(b, n, WIDTH) * da).sum(axis=2, keepdims=True)
-        ds *= s
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        dq *= np.float32(WIDTH**-0.5)
-        dx = dg
-        three = np.concatenate([dq, dk, dv], axis=2).reshape(b * n, 3 * WIDTH)
-        d["q"], d["k"], d["v"] = np.split(x.T @ three, 3, axis=1)
-        dx += three @ np.concatenate([p["q"], p["k"], p["v"]], axis=1).T
-        d["pos"] = np.pad(dx.reshape(b, n, WIDTH).sum(0), ((0, WINDOW - n), (0, 0)))
+        """Of the mean loss where `some` holds, by parameter; of embeddings only those met, "rows"."""
+        p, (b, n), w = self.p, ids.shape, WIDTH
+        (ask, give, out, usual), kind = self.merged(), self.p["e"].dtype
         rows = self.rows.take(ids.ravel())
         # rows are few enough for 16 bits, which sort by counting
         order = np.argsort(rows.astype(np.uint16) if len(p["e"]) < 1 << 16 else rows, kind="stable")
-        rows = rows.take(order)
-        at = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        d["rows"] = rows.take(at)
-        d["e"] = np.add.reduceat(dx.take(order, axis=0), at)
-        return d
+        ordered = rows.take(order)
+        at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        met, place = ordered.take(at), np.empty(len(p["e"]), np.int64)
+        place[met] = np.arange(len(met))
+        place = place.take(rows)
+
+        # each embedding met is multiplied once; a last column of ones in values takes what is constant along the way back
+        e, pos = p["e"].take(met, axis=0), p["pos"][:n]
+        column = lambda x, last: np.concatenate([x, np.full((len(x), 1), last, kind)], axis=1)
+        query, key, value = ((x.take(place, axis=0).reshape(b, -1) + y.ravel()).reshape(b, n, -1) for x, y in ((e @ ask, pos @ ask), (e, pos), (column(e @ give, 0), column(pos @ give, 1))))
+        s = query @ key.transpose(0, 2, 1)
+        exponentials(s)
+        s *= self.seen[:n, :n]
+        # weights stay undivided by their sums
+        part = (1 / (s.reshape(b * n, n) @ np.ones(n, kind)))[:, None]
+        a = (s @ value[:, :, :w]).reshape(b * n, w)
+        a *= part
+        h = a + key.reshape(b * n, w)
+        u = self.hidden(h, n)
+        g = u @ p["w2"]
+        g += h
+        z = g @ out
+        unshifted(z)
+        np.exp(z, out=z)
+        sums, classes = z @ usual, self.classes.take(targets.ravel())
+        z.ravel()[np.arange(0, z.size, z.shape[1]) + classes] -= sums / usual.take(classes)
+        share = (some.ravel() / (sums * max(some.sum(), 1))).astype(kind)
+        dg = z @ (out * usual).T
+        dg *= share[:, None]
+        g *= share[:, None]
+        classes = p["out"].shape[1]
+        d = {"out": (g.T @ z * usual)[:, :classes], "bias": (share @ z * usual)[:classes], "w2": u.T @ dg}
+        du = dg @ p["w2"].T
+        du *= (u > 0).astype(kind)
+        d |= {"w1": h.T @ du, "b1": np.ones(b * n, kind) @ du}
+        dg += du @ p["w1"].T
+        da = np.empty((b * n, w + 1), kind)
+        np.multiply(dg, part, out=da[:, :w])
+        a *= dg
+        np.multiply(a @ np.ones(w, kind), -part.ravel(), out=da[:, w])
+        da = da.reshape(b, n, w + 1)
+        ds = da @ value.transpose(0, 2, 1)
+        ds *= s
+        both = np.empty((b, n, 2 * w), kind)
+        np.matmul(ds, key, out=both[:, :, :w])
+        np.matmul(s.transpose(0, 2, 1), da[:, :, :w], out=both[:, :, w:])
+        dx = (ds.transpose(0, 2, 1) @ query).reshape(b * n, w)
+        dx += dg
+        both = both.reshape(b * n, 2 * w)
+        dx += both @ np.concatenate([ask, give], axis=1).T
+        d_ask, d_give = np.split(key.reshape(b * n, w).T @ both, 2, axis=1)
+        d_ask *= kind.type(w**-0.5)
+        d |= {"q": d_ask @ p["k"], "k": d_ask.T @ p["q"], "v": d_give @ p["o"].T, "o": p["v"].T @ d_give}
+        d["pos"] = np.zeros_like(p["pos"])
+        d["pos"][:n] = dx.reshape(b, n * w).sum(0).reshape(n, w)
+        return d | {"rows": met, "e": np.add.reduceat(dx.take(order, axis=0), at)}
 
     def prior(self, often: np.ndarray) -> None:
         """Begin with the chances of classes that ids counted so often give."""
@@ -427,32 +557,34 @@ class Network:
 
 
 class Adam:
+    """Steps of a network, whose dense parameters become parts of one array."""
+
     def __init__(self, network: Network):
-        self.network, self.m, self.v, self.t = network, {}, {}, 0
+        self.network, self.t = network, 0
+        self.dense = [k for k in network.p if k != "e"]
+        whole = np.concatenate([network.p[k].ravel() for k in self.dense])
+        for k, part in zip(self.dense, np.split(whole, np.cumsum([network.p[k].size for k in self.dense])[:-1]), strict=True):
+            network.p[k] = part.reshape(network.p[k].shape)
+        self.held = [(x, np.zeros_like(x), np.zeros_like(x)) for x in (whole, network.p["e"])]
 
     def step(self, rate: float, ids: np.ndarray, targets: np.ndarray, some: np.ndarray) -> None:
         self.t = t = self.t + 1
         slopes = self.network.slopes(ids, targets, some)
-        met = slopes.pop("rows")
-        for k, g in slopes.items():
-            p = self.network.p[k]
-            if k not in self.m:
-                self.m[k], self.v[k] = np.zeros_like(p), np.zeros_like(p)
-            # embeddings that were not met stay as they are
-            take = (lambda x: x.take(met, axis=0)) if k == "e" else np.copy
-            at = met if k == "e" else slice(None)
-            m, v = take(self.m[k]), take(self.v[k])
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.99
-            v += 0.01 * g * g
-            self.m[k][at], self.v[k][at] = m, v
-            v *= 1 / (1 - 0.99**t)
-            np.sqrt(v, out=v)
-            v += 1e-8
-            m *= rate / (1 - 0.9**t)
-            m /= v
-            p[at] = take(p) - m
+        # embeddings that were not met stay as they are
+        for (p, m, v), at, g in zip(self.held, (None, slopes["rows"]), (np.concatenate([slopes[k].ravel() for k in self.dense]), slopes["e"]), strict=True):
+            own = (m, v) if at is None else (m.take(at, axis=0), v.take(at, axis=0))
+            own[0][:] += (g - own[0]) * np.float32(0.1)
+            g *= g
+            own[1][:] += (g - own[1]) * np.float32(0.01)
+            if at is not None:
+                m[at], v[at] = own
+            x = np.sqrt(own[1] * np.float32(1 / (1 - 0.99**t)))
+            x += np.float32(1e-8)
+            np.divide(own[0] * np.float32(rate / (1 - 0.9**t)), x, out=x)
+            if at is None:
+                p -= x
+            else:
+                p[at] -= x
 
 
 def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -543,11 +675,17 @@ class Scorer:
         """For each text, given as ids of each word: (log chances, lifts of the class) of its words, then of its end."""
         mark = np.array([end], "<u4").tobytes()
         ids = np.frombuffer(b"".join(x for words in spelt for x in (mark, *words, mark)), "<u4").astype(np.int64)
-        return self.of_ids(ids, [np.array([len(w) // 4 for w in words] + [1], np.int64) for words in spelt])
-
-    def of_ids(self, ids: np.ndarray, counts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """words() of texts laid end to end, each between two ends; counts: by text, how many ids each word and the end after them have."""
-        lengths = np.array([c.sum() for c in counts])
+        sizes = [np.array([1, *(len(w) // 4 for w in words), 1], np.int64) for words in spelt]
+        items = np.array([len(x) for x in sizes], np.int64)
+        att, lift = self.of_ids(ids, np.cumsum(x := np.concatenate(sizes)) - x, items)
+        ends = np.cumsum(items)
+        return [(att[i + 1 : j], lift[i + 1 : j]) for i, j in zip(ends - items, ends, strict=True)]
+
+    def of_ids(self, ids: np.ndarray, starts: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """words() of texts laid end to end, each between two ends, as two arrays in which those of each text come after a place without
+        meaning; starts: where first ends, words and last ends begin; items: how many of them each text has."""
+        last = np.cumsum(items) - 1
+        lengths = starts[last] - starts[last - items + 1]
         kind, begins = np.zeros(len(ids)), np.zeros(len(ids))
         for place, some, skip in windowed(ids, lengths):
             inputs = ids.take(place, mode="clip")
@@ -558,14 +696,11 @@ class Scorer:
             else:
                 at = targets[some]
                 kind[at], begins[at] = a[some], b[some]
-        own, lift = kind + self.within[ids], kind - begins - self.usual[self.network.classes[ids]]
-        out, at = [], 1
-        for c in counts:
-            starts = at + np.cumsum(c) - c
-            sums = np.add.reduceat(own[: starts[-1] + 1], starts)
-            out.append((sums - begins[starts] + np.append(begins[starts[1:]], 0.0), lift[starts]))
-            at = starts[-1] + 2
-        return out
+        begun = begins[starts]
+        after = np.append(begun[1:], 0.0)
+        after[last] = 0
+        lift = kind[starts] - begun - self.usual[self.network.classes[ids[starts]]]
+        return np.add.reduceat(kind + self.within[ids], starts) - begun + after, lift
 
 
 def cells_of(rel: np.ndarray, lift: np.ndarray) -> np.ndarray:
@@ -600,34 +735,76 @@ def fitted(docs: DataFrame, counts: DataFrame, ranks: bytes, pattern: str) -> Sc
     return Scorer(network, within, np.log(usual / usual.sum()))
 
 
+class Numbers:
+    """Numbers 0, 1, ... of words, given by their stored ids; of words not among them -1.
+
+    Words of as many ids as a 64-bit key has room for are looked up all at once, by the whole key; longer ones in a dictionary."""
+
+    def __init__(self, words: list[bytes], kind: str):
+        self.width = np.dtype(kind).itemsize
+        self.most, self.bits = 8 // self.width, max(4, len(words).bit_length() + 2)
+        self.keys, self.at = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1)
+        self.long = {w: i for i, w in enumerate(words) if len(w) > 8}
+        some = np.array([i for i, w in enumerate(words) if len(w) <= 8], np.int64)
+        data = b"".join([words[i] for i in some.tolist()])
+        sizes = np.array([len(words[i]) // self.width for i in some.tolist()], np.int64)
+        keys = packed(np.frombuffer(data, kind), np.cumsum(sizes) - sizes, sizes)
+        slots = self._slots(keys)
+        while len(some):
+            # the first of those that want a free place has it, the others go on to the next
+            slots, first = slots & ((1 << self.bits) - 1), np.zeros(len(some), bool)
+            first[np.unique(slots, return_index=True)[1]] = True
+            first &= self.at[slots] < 0
+            self.keys[slots[first]], self.at[slots[first]] = keys[first], some[first]
+            keys, some, slots = keys[~first], some[~first], slots[~first] + 1
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (mixed(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, data: bytes, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of the words flat[starts : starts + sizes]; data: the bytes of flat."""
+        keys = packed(flat, starts, np.minimum(sizes, self.most))
+        out, left, slots = np.full(len(keys), -1), np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            held = self.keys.take(slots)
+            same = held == keys
+            out[left[same]] = self.at.take(slots[same])
+            more = np.flatnonzero(~same & (held != 0))
+            left, keys, slots = left[more], keys[more], (slots[more] + 1) & ((1 << self.bits) - 1)
+        long = np.flatnonzero(sizes > self.most)
+        at = (starts[long] * self.width).tolist()
+        out[long] = np.fromiter(map(self.long.get, [data[i:j] for i, j in zip(at, ((starts + sizes)[long] * self.width).tolist(), strict=True)], repeat(-1)), np.int64, len(long))
+        return out
+
+
 def _ready(x: tuple) -> tuple:
-    """The scorer, bytes of ids, which of them begin a word, counts by the stored ids of a word."""
+    """The scorer; bytes of ids, without the space of those that begin a word; which ids those are; numbers of frequent words; their counts, and that of ends."""
     scorer, ranks, pattern, often, c, n_docs = x
     scorer.network.ready()
     speller = Speller(ranks, pattern, most=0)
     spelt = speller.spelt(often.encode().split(b"\n")) if len(c) else []
-    often = {np.frombuffer(w, "<u4").astype(speller.stored).tobytes(): n for w, n in zip(spelt, c.tolist(), strict=True)}
-    return scorer, speller.tokens, speller.leads, often, n_docs
+    numbers = Numbers([np.frombuffer(w, "<u4").astype(speller.stored).tobytes() for w in spelt], speller.stored)
+    return scorer, texts_of_ids(speller), speller.leads, numbers, np.append(c, n_docs).astype(np.int64)
 
 
 def words_in(data: bytes, flat: np.ndarray, sizes: list[int], leads: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
     """For each text of stored ids, laid end to end: where its words and its end begin, and the ids of its words."""
-    begins, width = np.flatnonzero(leads.take(flat)), flat.itemsize
-    of_texts = np.searchsorted(begins, np.cumsum([0, *sizes])).tolist()
-    for a, b in zip(of_texts, of_texts[1:], strict=False):
+    begins, items = starts_in(flat, sizes, leads)
+    ends = np.cumsum(items)
+    for a, b in zip((ends - items).tolist(), ends.tolist(), strict=True):
         starts = begins[a + 1 : b]
-        at = (starts * width).tolist()
+        at = (starts * flat.itemsize).tolist()
         yield starts, [data[i:j] for i, j in zip(at, at[1:], strict=False)]
 
 
 def scored(docs: DataFrame, training, ranks: bytes, pattern: str) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text); training: a condition on doc_id."""
     spark = docs.sparkSession
-    counts = written(word_counts(docs.where(training)), "word-counts")
-    t = counts.agg(F.sum("c"), F.count("*"), F.max(F.when(F.col("word") == END_WORD, F.col("c")))).first()
-    n, kinds, n_docs = t[0] or 0, t[1], t[2] or 0
     flagged = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
     spelt = written(encoded(flagged, ranks, pattern), "lm-ids")
+    counts = written(counted(spelt.where("learn"), ranks, pattern), "word-counts")
+    t = counts.agg(F.sum("c"), F.count("*"), F.max(F.when(F.col("word") == END_WORD, F.col("c")))).first()
+    n, kinds, n_docs = t[0] or 0, t[1], t[2] or 0
     scorer = fitted(spelt.where("learn"), counts, ranks, pattern)
     norm = float(np.log10(n + kinds + 1))
     top = counts.where((F.col("word") != END_WORD) & (F.octet_length("word") <= FREQUENT_BYTES)).orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
@@ -640,36 +817,42 @@ def scored(docs: DataFrame, training, ranks: bytes, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and one without rid, of the task's cells, at the end."""
         roomy()
-        scorer, tokens, leads, often, n_docs = sent()
+        scorer, tokens, leads, numbers, often = sent()
         kind = stored(len(tokens) - 1)
+        unis, loos = np.log10(often + 1.0) - norm, np.log(np.maximum(often, 1)) - norm * LN10
         base, row, cells = TaskContext.get().partitionId() << 33, 0, np.zeros(RELS * LIFTS, np.int64)
         for whole in batches:
             for batch in slices(whole, "ids", IDS_BYTES // 4):
                 texts = batch.column("ids").to_pylist()
                 data = b"".join(texts)
                 flat = np.frombuffer(data, kind)
-                found = [*words_in(data, flat, [len(x) // flat.itemsize for x in texts], leads)]
-                chances = scorer.of_ids(flat.astype(np.int64), [np.append(np.diff(starts), 1) for starts, _ in found])
-                out, rare_words, rare_att, rare_lift, ends = [], [], [], [], [0]
-                for (_, words), (att, lift), learn in zip(found, chances, batch.column("learn").to_pylist(), strict=True):
-                    c = np.fromiter(map(often.get, words, repeat(-1)), np.int64, len(words))
-                    rare = np.flatnonzero(c < 0)
-                    c = np.append(c, n_docs)
-                    some = c >= 0
-                    uni = np.log10(c[some] + 1.0) - norm
-                    rare_words.append([b"".join([tokens[k] for k in np.frombuffer(words[i], kind).tolist()])[1:].decode("utf-8", "replace") for i in rare.tolist()])
-                    rare_att.append(att[rare])
-                    rare_lift.append(lift[rare])
-                    ends.append(ends[-1] + len(rare))
-                    att, lift, c = att[some], lift[some], c[some]
-                    rel = att - uni * LN10
-                    if learn:  # a training document's own count is left out
-                        np.add.at(cells, cells_of(rel + np.log(c + 1.0) - np.log(np.maximum(c, 1)), lift), 1)
-                    out.append((base + row, len(words) + 1, int((c > 0).sum()), float(uni.sum()), np.stack([rel, lift], axis=1).astype("<f4").tobytes()))
-                    row += 1
-                cols = [*zip(*out, strict=True)]
-                rest = pa.StructArray.from_arrays([pa.array(chain.from_iterable(rare_words), pa.string()), *(pa.array(np.concatenate(x).astype(np.float32)) for x in (rare_att, rare_lift))], ["word", "att", "lift"])
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), batch.column("doc_id"), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3]), pa.array(cols[4], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest), batch.column("learn"), pa.nulls(len(cols[0]), pairs)], names=names)
+                starts, items = starts_in(flat, [len(x) // flat.itemsize for x in texts], leads)
+                att, lift = scorer.of_ids(flat.astype(np.int64), starts, items)
+                sizes = np.diff(starts, append=len(flat))
+                # words, and the end after those of a text, which has the number after all words'; first ends go
+                number, own = numbers.of(data, flat, starts, sizes), np.ones(len(starts), bool)
+                ends = np.cumsum(items)
+                number[ends - 1] = len(often) - 1
+                own[ends - items] = False
+                number, att, lift, starts, sizes, text = number[own], att[own], lift[own], starts[own], sizes[own], np.repeat(np.arange(len(texts)), items - 1)
+                rare = np.flatnonzero(number < 0)
+                of_rare = sizes[rare]
+                ids = flat.take(np.repeat(starts[rare] - (np.cumsum(of_rare) - of_rare), of_rare) + np.arange(of_rare.sum()))
+                rest = pa.StructArray.from_arrays([joined(tokens, ids, of_rare), *(pa.array(x[rare].astype(np.float32)) for x in (att, lift))], ["word", "att", "lift"])
+                rares = np.append(0, np.cumsum(np.bincount(text[rare], minlength=len(texts))))
+                some = np.flatnonzero(number >= 0)
+                number, att, lift, text = number[some], att[some], lift[some], text[some]
+                learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(bool)[text]
+                # a training document's own count is left out
+                np.add.at(cells, cells_of(att[learn] - loos[number[learn]], lift[learn]), 1)
+                uni, known = unis[number], (often > 0)[number]
+                near = np.stack([att - uni * LN10, lift], axis=1).astype("<f4")
+                # each text has its end among these
+                first = np.searchsorted(text, np.arange(len(texts) + 1))
+                nears = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((first * 8).astype("<i4").tobytes()), pa.py_buffer(near.tobytes())])
+                cols = [np.arange(base + row, base + row + len(texts)), batch.column("doc_id"), items - 1, np.add.reduceat(known.astype(np.int64), first[:-1]), np.add.reduceat(uni, first[:-1]), nears, pa.ListArray.from_arrays(pa.array(rares, pa.int32()), rest), batch.column("learn"), pa.nulls(len(texts), pairs)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) if isinstance(x, np.ndarray) else x for x in cols], names=names)
+                row += len(texts)
         some = np.flatnonzero(cells)
         if len(some):
             last = pa.StructArray.from_arrays([pa.array(some, pa.int32()), pa.array(cells[some], pa.int64())], ["cell", "n"])
