@@ -144,11 +144,17 @@ def resolve(links: DataFrame, labels: DataFrame, redirects: DataFrame, media: Da
     targets = resolve_targets(known.select("lang", "target").distinct(), found_in, allow_pseudo_prefix)
     rows = known.join(_merged(targets), ["lang", "target"], "left").select("lang", "title", "src", "target", "dst", "method", "stream")
     lost = own.where("src IS NULL").select("lang", "title", "src", "target", F.lit(None).cast("string").alias("dst"), F.lit(None).cast("smallint").alias("method"), F.lit("src_not_found").alias("stream"))
-    met = targets.where("rank > 2").select("lang", F.col("target").alias("title")).join(_merged(odd), ["lang", "title"])
+    return rows.unionByName(lost), _anomalies(known.select("lang", "target"), odd, found_in, allow_pseudo_prefix)
+
+
+def _anomalies(targets: DataFrame, odd: DataFrame, found_in: DataFrame, allow_pseudo_prefix: bool) -> DataFrame:
+    """lang, title, kind of odd redirects (lang, title, kind) that targets (lang, target) come across. Only targets that name one are resolved."""
+    names = F.array_distinct(F.array("target", capfirst(F.col("target"))))
+    near = targets.select("lang", "target", F.explode(names).alias("title")).join(_merged(odd), ["lang", "title"]).distinct()
+    ranks = resolve_targets(near.select("lang", "target").distinct(), found_in, allow_pseudo_prefix).select("lang", "target", "rank")
     # the capitalised title is looked up only where the redirect of the target itself led nowhere
-    met2 = targets.where("rank > 3").select("lang", capfirst(F.col("target")).alias("title")).join(_merged(odd), ["lang", "title"])
-    anomalies = met.unionByName(met2).select("lang", diagnostic(F.col("title")).alias("title"), "kind").where("title IS NOT NULL").groupBy("lang", "title").agg(F.min("kind").alias("kind"))
-    return rows.unionByName(lost), anomalies
+    met = near.join(_merged(ranks), ["lang", "target"]).where(F.col("rank") > F.when(F.col("title") == F.col("target"), 2).otherwise(3))
+    return met.select("lang", diagnostic(F.col("title")).alias("title"), "kind").where("title IS NOT NULL").groupBy("lang", "title").agg(F.min("kind").alias("kind"))
 
 
 def stream_rows(rows: DataFrame, stream: str) -> DataFrame:
