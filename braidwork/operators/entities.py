@@ -12,18 +12,18 @@ from ..functions.text import is_encyclopedia, last_segment, object_label
 _SNAK = "struct<datatype:string,datavalue:struct<value:string>>"
 _CLAIMS = f"map<string,array<struct<mainsnak:{_SNAK},qualifiers:map<string,array<{_SNAK}>>>>>"
 _VALUE = "struct<value:string>"
-ENTITY = f"struct<id:string,labels:map<string,{_VALUE}>,sitelinks:map<string,struct<title:string>>,claims:{_CLAIMS}>"
+ENTITY = {"labels": f"map<string,{_VALUE}>", "sitelinks": "map<string,struct<title:string>>", "claims": _CLAIMS}
 LEXEME = f"struct<id:string,lemmas:map<string,{_VALUE}>,claims:{_CLAIMS},forms:array<struct<representations:map<string,{_VALUE}>>>,senses:array<struct<id:string,claims:{_CLAIMS}>>>"
 
 
 def _parsed(lines: DataFrame, schema: str) -> DataFrame:
-    """Empty maps are written as [] in dumps; they parse as null and count as empty."""
-    e = F.from_json(F.col("value"), schema)
-    return lines.select(e.alias("e")).where("e.id IS NOT NULL").select("e.*")
+    """Empty maps are written as [] in dumps; they parse as null and count as empty. Each line is parsed once: inline keeps the filter behind it."""
+    return lines.select(F.inline(F.array(F.from_json(F.col("value"), schema)))).where("id IS NOT NULL")
 
 
-def entities(lines: DataFrame) -> DataFrame:
-    return _parsed(lines, ENTITY)
+def entities(lines: DataFrame, *fields: str) -> DataFrame:
+    """id and fields of ENTITY, all of them where none is named; what is not named is passed over in parsing."""
+    return _parsed(lines, f"struct<id:string,{','.join(f'{k}:{ENTITY[k]}' for k in fields or ENTITY)}>")
 
 
 def lexemes(lines: DataFrame) -> DataFrame:
@@ -36,10 +36,18 @@ def _field(value: Column, path: str) -> Column:
 
 def sitelink_labels(e: DataFrame, chain: list[str]) -> DataFrame:
     """lang, label, qid of encyclopedia titles in the chain's languages."""
-    langs = [c for c in chain if c not in ("mul", "doi", "best")]
-    rows = e.select(F.explode(F.map_entries("sitelinks")).alias("s"), F.col("id").alias("qid")).where("endswith(s.key, 'wiki') AND s.value.title IS NOT NULL")
-    lang = F.regexp_replace("s.key", "wiki$", "")
-    return rows.select(lang.alias("lang"), F.col("s.value.title").alias("label"), "qid").where(F.col("lang").isin(langs))
+    return e.select(F.inline(_sitelink_labels(chain)), F.col("id").alias("qid"))
+
+
+def _sitelink_labels(chain: list[str]) -> Column:
+    sites = [c + "wiki" for c in chain if c not in ("mul", "doi", "best")]
+    own = F.filter(F.map_entries("sitelinks"), lambda s: s["key"].isin(sites) & s["value"]["title"].isNotNull())
+    return _full(F.transform(own, lambda s: F.struct(F.regexp_replace(s["key"], "wiki$", "").alias("lang"), s["value"]["title"].alias("label"))), "lang string, label string")
+
+
+def _full(rows: Column, kind: str) -> Column:
+    """Rows of an array, none where it is null; kind: their fields."""
+    return F.coalesce(rows, F.array().cast(f"array<struct<{kind.replace(' ', ':').replace(',:', ',')}>>"))
 
 
 def _first_along(order: tuple[str, ...], get) -> list[Column]:
@@ -61,9 +69,9 @@ def doi_label() -> Column:
 
 def labels(e: DataFrame, chain: list[str], order: tuple[str, ...] = P.LABEL_ORDER) -> DataFrame:
     """lang, label, qid of every kind, once each."""
-    named = lambda kind, value: e.select(F.lit(kind).alias("lang"), value.alias("label"), F.col("id").alias("qid")).where("label IS NOT NULL")
-    rows = sitelink_labels(e, chain).unionByName(named("mul", F.col("labels")["mul"]["value"]))
-    return rows.unionByName(named("doi", doi_label())).unionByName(named("best", best_label(order))).distinct()
+    named = lambda kind, value: F.struct(F.lit(kind).alias("lang"), value.alias("label"))
+    rows = F.concat(_sitelink_labels(chain), F.array(named("mul", F.col("labels")["mul"]["value"]), named("doi", doi_label()), named("best", best_label(order))))
+    return e.select(F.inline(rows), F.col("id").alias("qid")).where("label IS NOT NULL").distinct()
 
 
 def sitelink_count() -> Column:
@@ -80,10 +88,14 @@ def statements(e: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     return by_prop.select(*keep, F.col("c.key").alias("prop"), F.explode("c.value").alias("s")).select(*keep, "prop", "s.*")
 
 
-def qualifiers(s: DataFrame) -> DataFrame:
-    """id, prop (of the claim), mainsnak, qprop, snak of each qualifier."""
-    by_prop = s.select("id", "prop", "mainsnak", F.explode(F.map_entries("qualifiers")).alias("q"))
-    return by_prop.select("id", "prop", "mainsnak", F.col("q.key").alias("qprop"), F.explode("q.value").alias("snak"))
+_QUALIFIER = f"array<struct<qprop:string,snak:{_SNAK}>>"
+
+
+def qualifiers() -> Column:
+    """array<struct<qprop, snak>> of the qualifiers of a statement."""
+    none = F.array().cast(_QUALIFIER)
+    each = F.transform(F.map_entries("qualifiers"), lambda q: F.coalesce(F.transform(q["value"], lambda x: F.struct(q["key"].alias("qprop"), x.alias("snak"))), none))
+    return F.coalesce(F.flatten(each), none)
 
 
 def _target(snak: Column) -> Column:
@@ -92,10 +104,9 @@ def _target(snak: Column) -> Column:
 
 def edges(e: DataFrame) -> DataFrame:
     """src, dst, prop of claims and of their qualifiers (under the qualifier's property), once each; ranks play no part."""
-    s = statements(e)
-    main = s.select(F.col("id").alias("src"), _target(F.col("mainsnak")).alias("dst"), "prop")
-    more = qualifiers(s).select(F.col("id").alias("src"), _target(F.col("snak")).alias("dst"), F.col("qprop").alias("prop"))
-    return main.unionByName(more).where("dst IS NOT NULL").distinct()
+    own = F.array(F.struct(F.col("prop").alias("qprop"), F.col("mainsnak").alias("snak")))
+    snaks = statements(e).select(F.col("id").alias("src"), F.inline(F.concat(own, qualifiers())))
+    return snaks.select("src", _target(F.col("snak")).alias("dst"), F.col("qprop").alias("prop")).where("dst IS NOT NULL").distinct()
 
 
 def _dated(snak: Column) -> tuple[Column, Column]:
@@ -105,14 +116,16 @@ def _dated(snak: Column) -> tuple[Column, Column]:
 
 def dates(e: DataFrame) -> DataFrame:
     """qid, property, time_value, precision, source_property, source_target: of claims, and of qualifiers of times and dated statements."""
-    s = statements(e)
-    time, precision = _dated(F.col("mainsnak"))
     none = F.lit("")
-    top = s.where(F.col("prop").isin(list(P.TIMES))).select(F.col("id").alias("qid"), F.col("prop").alias("property"), time.alias("time_value"), precision.alias("precision"), none.alias("source_property"), none.alias("source_target"))
-    q = qualifiers(s.where(F.col("prop").isin(list(P.TIMES_AND_DATED)))).where(F.col("qprop").isin(list(P.TIMES)))
+    # a claim stands beside its qualifiers, but has no source
+    own = F.array(F.struct(F.col("prop").alias("qprop"), F.col("mainsnak").alias("snak"), none.alias("source_property"), none.alias("source_target")))
+    source = F.coalesce(_target(F.col("mainsnak")), none)
+    more = F.transform(qualifiers(), lambda q: F.struct(q["qprop"].alias("qprop"), q["snak"].alias("snak"), F.col("prop").alias("source_property"), source.alias("source_target")))
+    # TIMES_AND_DATED has all of TIMES
+    snaks = statements(e).where(F.col("prop").isin(list(P.TIMES_AND_DATED))).select(F.col("id").alias("qid"), F.inline(F.concat(own, more))).where(F.col("qprop").isin(list(P.TIMES)))
     time, precision = _dated(F.col("snak"))
-    nested = q.select(F.col("id").alias("qid"), F.col("qprop").alias("property"), time.alias("time_value"), precision.alias("precision"), F.col("prop").alias("source_property"), F.coalesce(_target(F.col("mainsnak")), none).alias("source_target"))
-    return top.unionByName(nested).where("time_value IS NOT NULL AND precision IS NOT NULL AND octet_length(time_value) <= 32").distinct()
+    rows = snaks.select("qid", F.col("qprop").alias("property"), time.alias("time_value"), precision.alias("precision"), "source_property", "source_target")
+    return rows.where("time_value IS NOT NULL AND precision IS NOT NULL AND octet_length(time_value) <= 32").distinct()
 
 
 def coordinates(e: DataFrame) -> DataFrame:
@@ -142,6 +155,15 @@ def forms(x: DataFrame) -> DataFrame:
     return each.select(F.col("m.key").alias("lang"), F.col("m.value.value").alias("lemma"), "lid").where("lemma IS NOT NULL").distinct()
 
 
+def words(x: DataFrame) -> DataFrame:
+    """lang, lemma, lid, kind (lemma or form), once each."""
+    made = f"array<struct<kind:string,m:array<struct<key:string,value:{_VALUE}>>>>"
+    own = F.array(F.struct(F.lit("lemma").alias("kind"), F.map_entries("lemmas").alias("m")))
+    more = F.transform("forms", lambda f: F.struct(F.lit("form").alias("kind"), F.map_entries(f["representations"]).alias("m")))
+    each = x.select(F.col("id").alias("lid"), F.inline(F.concat(own, F.coalesce(more, F.array().cast(made))))).select("lid", "kind", F.explode("m").alias("m"))
+    return each.select(F.col("m.key").alias("lang"), F.col("m.value.value").alias("lemma"), "lid", "kind").where("lemma IS NOT NULL").distinct()
+
+
 def _claimed(s: DataFrame, props: frozenset[str]) -> DataFrame:
     return s.where(F.col("prop").isin(list(props))).withColumn("dst", _field(F.col("mainsnak.datavalue.value"), "id")).where("dst IS NOT NULL")
 
@@ -154,6 +176,27 @@ def lexeme_item(x: DataFrame) -> DataFrame:
     return _claimed(statements(x), P.LEXEME_TO_ITEM).where("startswith(dst, 'Q')").select(F.col("id").alias("lid"), F.col("dst").alias("qid"), "prop").distinct()
 
 
+def _either(s: DataFrame, links: tuple[frozenset[str], Column, str], items: tuple[frozenset[str], Column, str]) -> DataFrame:
+    """Claims of two sorts (properties, what their dst must be, kind); a claim may be of both."""
+    kinds = F.array_compact(F.array(*[F.when(F.col("prop").isin(list(props)) & ok, F.lit(kind)) for props, ok, kind in (links, items)]))
+    return _claimed(s, links[0] | items[0]).withColumn("kind", F.explode(kinds))
+
+
+def lexeme_links(x: DataFrame) -> DataFrame:
+    """src, dst, prop, kind (lexeme or item) of lexeme_lexeme() and lexeme_item() in one pass."""
+    dst = F.col("dst")
+    rows = _either(statements(x), (P.LEXEME_TO_LEXEME, dst.startswith("L"), "lexeme"), (P.LEXEME_TO_ITEM, dst.startswith("Q"), "item"))
+    return rows.select(F.col("id").alias("src"), "dst", "prop", "kind").distinct()
+
+
+def sense_links(x: DataFrame) -> DataFrame:
+    """src_lid, src_sid, dst_lid (empty for items), dst_sid, prop of sense_sense() and sense_item() in one pass."""
+    dst = F.col("dst")
+    rows = _either(_senses(x), (P.SENSE_TO_SENSE, dst.contains("-"), "sense"), (P.SENSE_TO_ITEM, dst.startswith("Q"), "item"))
+    to = F.when(F.col("kind") == "sense", F.split_part("dst", F.lit("-"), F.lit(1))).otherwise("")
+    return rows.select(F.col("lid").alias("src_lid"), F.col("id").alias("src_sid"), to.alias("dst_lid"), F.col("dst").alias("dst_sid"), "prop", "kind").distinct().drop("kind")
+
+
 def _senses(x: DataFrame) -> DataFrame:
     own = x.select(F.col("id").alias("lid"), F.explode("senses").alias("s")).select("lid", F.col("s.id").alias("id"), F.col("s.claims").alias("claims"))
     return statements(own, ("lid", "id"))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import utrim
 
+#: Bytes of files a task, as they are stored, from which dealing out their lines is worth a shuffle.
+LARGE = 4 << 20
 PAGE = "title string, ns string, redirect struct<_title:string>, revision struct<text:string>"
 
 
@@ -22,10 +24,17 @@ def dealt(rows: DataFrame, *by: str) -> DataFrame:
     return rows.repartition(max(16, 2 * rows.sparkSession.sparkContext.defaultParallelism), *by)
 
 
+def _spread(lines: DataFrame) -> DataFrame:
+    """Lines as they are, or dealt out where large files that cannot be split leave half of the cores without a task."""
+    tasks = max(1, lines.rdd.getNumPartitions())
+    few = 2 * tasks < lines.sparkSession.sparkContext.defaultParallelism
+    return dealt(lines) if few and int(str(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > tasks * LARGE else lines
+
+
 def json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """value: one JSON record a line; brackets, trailing commas and empty lines dropped."""
-    line = F.regexp_replace(utrim(F.col("value")), ",+$", "")
-    return spark.read.text(path).select(line.alias("value")).where("value NOT IN ('', '[', ']')")
+    line = F.rtrim(utrim(F.col("value")), F.lit(","))
+    return _spread(spark.read.text(path)).select(line.alias("value")).where("value NOT IN ('', '[', ']')")
 
 
 def good_json(lines: DataFrame) -> DataFrame:
@@ -40,9 +49,10 @@ def bad_json(lines: DataFrame) -> DataFrame:
 def pages_of(framed: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """title, ns, redirect, text of rows (value) that end where a page ends. FAILFAST stops at a malformed page, PERMISSIVE drops it."""
     start = F.locate("<page>", F.col("value"))
-    xml = framed.where(start > 0).select(F.concat(F.substring(F.col("value"), start, F.char_length("value")), F.lit("</page>")).alias("xml"))
+    xml = _spread(framed).where(start > 0).select(F.concat(F.substring(F.col("value"), start, F.char_length("value")), F.lit("</page>")).alias("xml"))
     page = F.from_xml(F.col("xml"), PAGE, {"mode": mode})
-    parsed = xml.select(page.alias("p"))
+    # inline: a filter on what was parsed is not put before it, which would parse twice
+    parsed = xml.select(F.inline(F.array(F.struct(page.alias("p")))))
     if mode != "FAILFAST":
         parsed = parsed.where("p.title IS NOT NULL")
     ns = F.coalesce(F.col("p.ns").try_cast("int"), F.lit(-1))
@@ -79,7 +89,7 @@ def media_titles(spark: SparkSession, path: str | list[str], missing_ok: bool =
 
 def triples(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """s, p, o of lines with three parts or more; comments, directives and blanks dropped."""
-    return triples_of(spark.read.text(path))
+    return triples_of(_spread(spark.read.text(path)))
 
 
 def triples_of(lines: DataFrame) -> DataFrame:
