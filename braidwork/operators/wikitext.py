@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,36 +85,81 @@ def _cuts(body: str, mark: str, first: bool = False) -> list[int]:
     return out
 
 
-def _template(body: str) -> dict | None:
-    at = [-1, *_cuts(body, "|"), len(body)]
-    name, *args = (body[a + 1 : b] for a, b in zip(at, at[1:], strict=False))
-    if not name.strip():
+def _template(body: str) -> tuple[str, list[str], list[str], list[str]] | None:
+    """Name, positional arguments, names and values of the named ones."""
+    flat = not ("{{" in body or "}}" in body or "[[" in body or "]]" in body)  # then every mark counts
+    if flat:
+        name, *args = body.split("|")
+    else:
+        at = [-1, *_cuts(body, "|"), len(body)]
+        name, *args = (body[a + 1 : b] for a, b in zip(at, at[1:], strict=False))
+    if not (name := name.strip()):
         return None
-    positional, named = [], []
+    positional, keys, values = [], [], []
     for arg in args:
-        if cut := _cuts(arg, "=", first=True):
+        cut = [i] if flat and (i := arg.find("=")) >= 0 else [] if flat else _cuts(arg, "=", first=True)
+        if cut:
             k = arg[: cut[0]].strip()
             if k and not (k.isascii() and k.isdigit()):
-                named.append({"k": k, "v": arg[cut[0] + 1 :].strip()})
+                keys.append(k)
+                values.append(arg[cut[0] + 1 :].strip())
         else:
             positional.append(arg.strip())
-    return {"name": name.strip(), "positional": positional, "named": named}
+    return name, positional, keys, values
 
 
-def templates(text: str | None) -> list[dict]:
-    """Every template, inner ones before those around them; braces without a partner are passed over."""
-    open_at, out = [], []
+def _templates(text: str | None) -> Iterator[tuple[str, list[str], list[str], list[str]]]:
+    open_at = []
     for m in _PAIRS.finditer(text or ""):
         if m[0] == "{{":
             open_at.append(m.end())
         elif open_at and (made := _template(text[open_at.pop() : m.start()])) is not None:
-            out.append(made)
-    return out
+            yield made
 
 
-@F.pandas_udf(TEMPLATE)
-def templates_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(templates)
+def templates(text: str | None) -> list[dict]:
+    """Every template, inner ones before those around them; braces without a partner are passed over."""
+    return [{"name": n, "positional": p, "named": [{"k": k, "v": v} for k, v in zip(ks, vs, strict=True)]} for n, p, ks, vs in _templates(text)]
+
+
+#: Characters of text whose templates are handed over at once.
+AT_ONCE = 1 << 22
+
+
+def _columns(texts: list[str | None]) -> pa.Array:
+    """templates() of each text, put together by columns."""
+    names, positional, keys, values, each, ps, ks = [], [], [], [], [0], [0], [0]
+    for text in texts:
+        for n, p, k, v in _templates(text):
+            names.append(n)
+            positional += p
+            keys += k
+            values += v
+            ps.append(len(positional))
+            ks.append(len(keys))
+        each.append(len(names))
+    strings, offsets = lambda x: pa.array(x, pa.string()), lambda x: pa.array(x, pa.int32())
+    named = pa.ListArray.from_arrays(offsets(ks), pa.StructArray.from_arrays([strings(keys), strings(values)], ["k", "v"]))
+    made = pa.StructArray.from_arrays([strings(names), pa.ListArray.from_arrays(offsets(ps), strings(positional)), named], ["name", "positional", "named"])
+    return pa.ListArray.from_arrays(offsets(each), made)
+
+
+def _in_steps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        own, n = [], 0
+        for text in batch:
+            own.append(text.as_py())
+            n += len(own[-1] or "")
+            if n >= AT_ONCE:
+                yield _columns(own)
+                own, n = [], 0
+        if own:
+            yield _columns(own)
+
+
+@F.arrow_udf(TEMPLATE)
+def templates_udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return _in_steps(batches)
 
 
 def with_templates(pages: DataFrame, text: str = "text") -> DataFrame:
