@@ -105,22 +105,43 @@ def routed_word_links(links: DataFrame) -> DataFrame:
     """src, dst, n, route of links (title, target), each kind counted once: reject where its counted line is too long or it is of a namespace,
     bad where a side is empty, else accept. A counted line is the count, a space and the two sides, without white space at its end."""
     kinds = links.groupBy("title", "target").agg(F.count("*").alias("n"))
-    src, dst = utrim(F.col("title")), utrim(F.col("target"))
-    odd = lambda x: x.rlike('[:"\t]')
+    src, dst = F.col("src"), F.col("dst")
     line = F.regexp_replace(F.concat_ws("\t", "title", "target"), r"(?U)\s+$", "")
     long = F.length(F.col("n").cast("string")) + 1 + F.octet_length(line) > TITLE_CHARS
-    return kinds.select(src.alias("src"), dst.alias("dst"), "n", F.when(long | odd(src) | odd(dst), "reject").when((src == "") | (dst == ""), "bad").otherwise("accept").alias("route"))
+    return kinds.select("n", long.alias("long"), _sides()).select("src", "dst", "n", F.when(F.col("long") | _odd(src) | _odd(dst), "reject").when((src == "") | (dst == ""), "bad").otherwise("accept").alias("route"))
+
+
+def _odd(x: Column) -> Column:
+    """Of a namespace, or with a mark that exchange files cannot hold."""
+    return x.contains(":") | x.contains('"') | x.contains("\t")
+
+
+def _sides() -> Column:
+    """src, dst: trimmed title and target. Through inline, else whatever looks at them trims them anew."""
+    return F.inline(F.array(F.struct(utrim(F.col("title")).alias("src"), utrim(F.col("target")).alias("dst"))))
+
+
+def accepted_words(links: DataFrame) -> DataFrame:
+    """src, dst, n of links (title, target) that routed_word_links() accepts, a pair in one row or more. The count of a pair bears on its route by
+    the length of its line alone, so only pairs near that length are counted first."""
+    size = F.coalesce(F.octet_length("title"), F.lit(0)) + F.coalesce(F.octet_length("target"), F.lit(0)) + 1
+    short = size <= TITLE_CHARS - len(" 9223372036854775807")
+    own = links.where(short).select(_sides()).select("src", "dst", F.lit(1).cast("long").alias("n"))
+    src, dst = F.col("src"), F.col("dst")
+    own = own.where(~F.coalesce(_odd(src) | _odd(dst) | (src == "") | (dst == ""), F.lit(False)))
+    return own.unionByName(routed_word_links(links.where(~short)).where("route = 'accept'").drop("route"))
 
 
 def word_links(links: DataFrame, distinct_per_language: bool = False) -> DataFrame:
     """src, dst, wkt_count: how often a pair occurs (or in how many languages) among accepted links."""
     if distinct_per_language:
         links = links.select("lang", utrim(F.col("title")).alias("title"), utrim(F.col("target")).alias("target")).distinct()
-    return routed_word_links(links).where("route = 'accept'").groupBy("src", "dst").agg(F.sum("n").cast("int").alias("wkt_count"))
+    return accepted_words(links).groupBy("src", "dst").agg(F.sum("n").cast("int").alias("wkt_count"))
 
 
 def word_entries(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("src").alias("entry")).union(pairs.select("dst")).distinct()
+    """Words of word_links(), or of accepted_words(), which need not be counted for this."""
+    return pairs.select(F.explode(F.array("src", "dst")).alias("entry")).distinct()
 
 
 # ---- text exchange

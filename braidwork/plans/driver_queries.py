@@ -204,8 +204,10 @@ def q_uniq_counts(spark, sf):
 
 def _word_links(spark, sf):
     """Each word of every text, and the word after it."""
-    rows = _t(spark, sf, "documents").select("lang", F.regexp_extract_all("text", F.lit("[^ \n]+"), F.lit(0)).alias("w")).where("size(w) >= 2")
-    pairs = F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("title"), F.slice("w", F.lit(2), F.size("w") - 1).alias("target"))
+    # no filter on the number of words: it would look for them a second time
+    rows = _t(spark, sf, "documents").select("lang", F.regexp_extract_all("text", F.lit("[^ \n]+"), F.lit(0)).alias("w"))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice("w", F.lit(1), n).alias("title"), F.slice("w", F.lit(2), n).alias("target"))
     return rows.select("lang", F.inline(pairs))
 
 
@@ -214,7 +216,7 @@ def q_wkt_links(spark, sf):
 
 
 def q_wkt_entries(spark, sf):
-    return G.word_entries(G.word_links(_word_links(spark, sf)))
+    return G.word_entries(G.accepted_words(_word_links(spark, sf)))
 
 
 def q_coords(spark, sf):
